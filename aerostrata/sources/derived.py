@@ -7,8 +7,7 @@ integer arithmetic that gives the same rows in any SQL engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from aerostrata import schemas as S
@@ -39,35 +38,42 @@ _NATION = T.StructType(
 LOADED_AT = "2024-01-01T00:00:00"
 
 
-def pick(values: list[str], index: Column) -> Column:
-    """The value at a zero-based index of a short literal list."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def pick(values: list[str], index: str) -> str:
+    """SQL for the value at a zero-based index of a short literal list."""
+    words = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({words}), int({index}) + 1)"
 
 
-def zero_padded(number: Column, width: int) -> Column:
-    """At least ``width`` digits; longer numbers keep all of theirs."""
-    digits = number.cast("string")
-    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+def zero_padded(number: str, width: int) -> str:
+    """SQL for at least ``width`` digits; longer numbers keep all of theirs."""
+    digits = f"string({number})"
+    return f"lpad({digits}, greatest({width}, length({digits})), '0')"
 
 
 def flights_raw(spark: SparkSession, data_dir: str) -> DataFrame:
     """One flight per line item, with null keys and null delays mixed in."""
-    o, p, s, n = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    quantity = F.col("l_quantity").cast("int")
-    start = (p * 7 + s) % 24
-    end = (start + 1 + o % (1 + quantity % 23)) % 24
-    late = o % 100 < 14 + 3 * (p % 8)
-    arrival = F.when(late, 15 + (p * 13 + o) % 166).otherwise((p * 13 + o) % 31 - 15)
-    departure = F.when(late, 15 + (p * 11 + o) % 136).otherwise((p * 11 + o) % 31 - 10)
-    mapped = read_table(spark, f"{data_dir}/lineitem.parquet", _LINEITEM).select(
-        F.when(o % 499 != 7, F.col("l_shipdate").cast("date").cast("string")).alias("flight_date"),
-        F.when(o % 997 != 3, pick(S.AIRLINES, p % 8)).alias("airline"),
-        pick(S.AIRPORTS, start).alias("origin"),
-        pick(S.AIRPORTS, end).alias("dest"),
-        F.when(~((n == 7) & (o % 5 == 0)), arrival).alias("arr_delay"),
-        F.when(~((n == 6) & (o % 7 == 0)), departure).alias("dep_delay"),
-        (200 + (p * 31 + o) % 2801).alias("distance"),
-        F.lit(LOADED_AT).alias("ingestion_timestamp"),
+    late = "o % 100 < 14 + 3 * (p % 8)"
+    items = read_table(spark, f"{data_dir}/lineitem.parquet", _LINEITEM).selectExpr(
+        "l_orderkey AS o",
+        "l_partkey AS p",
+        "l_linenumber AS n",
+        "(l_partkey * 7 + l_suppkey) % 24 AS og",
+        "int(l_quantity) AS q",
+        "l_shipdate",
+    )
+    mapped = items.selectExpr(
+        "CASE WHEN o % 499 <> 7 THEN string(date(l_shipdate)) END AS flight_date",
+        f"CASE WHEN o % 997 <> 3 THEN {pick(S.AIRLINES, 'p % 8')} END AS airline",
+        f"{pick(S.AIRPORTS, 'og')} AS origin",
+        f"{pick(S.AIRPORTS, '(og + 1 + o % (1 + q % 23)) % 24')} AS dest",
+        f"""int(CASE WHEN n = 7 AND o % 5 = 0 THEN NULL
+                     WHEN {late} THEN 15 + (p * 13 + o) % 166
+                     ELSE (p * 13 + o) % 31 - 15 END) AS arr_delay""",
+        f"""int(CASE WHEN n = 6 AND o % 7 = 0 THEN NULL
+                     WHEN {late} THEN 15 + (p * 11 + o) % 136
+                     ELSE (p * 11 + o) % 31 - 10 END) AS dep_delay""",
+        "int(200 + (p * 31 + o) % 2801) AS distance",
+        f"'{LOADED_AT}' AS ingestion_timestamp",
     )
     return enforce(mapped, S.FLIGHTS_RAW)
 
@@ -79,47 +85,33 @@ def customer_raw(spark: SparkSession, data_dir: str) -> DataFrame:
     """
     customer = read_table(spark, f"{data_dir}/customer.parquet", _CUSTOMER)
     nation = read_table(spark, f"{data_dir}/nation.parquet", _NATION)
-    k = F.col("c_custkey")
-    first, last = pick(S.FIRST_NAMES, k % 12), pick(S.LAST_NAMES, k % 13)
-    text = lambda number: number.cast("string")
-    m = (k * 7) % 20
-    mapped = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.when(k % 251 == 250, None)
-        .otherwise(F.concat(F.lit("CUST"), zero_padded(F.when(k % 101 == 100, k).otherwise(k + 1), 6)))
-        .alias("customer_id"),
-        F.concat_ws(" ", first, last).alias("full_name"),
-        F.when(k % 19 == 5, None)
-        .when(k % 17 == 3, F.lower(F.concat(first, F.lit(".example.com"))))
-        .when(k % 23 == 9, F.lower(F.concat(first, F.lit("@x."))))
-        .otherwise(
-            F.lower(F.concat(first, F.lit("."), last, text(k % 999 + 1), F.lit("@example.com")))
-        )
-        .alias("email"),
-        F.when(k % 29 == 4, None)
-        .when(k % 13 == 2, "555-0199")
-        .when(k % 31 == 8, F.concat(F.lit("555-123-"), text(1000 + k % 9000)))
-        .otherwise(
-            F.concat_ws(
-                "-",
-                F.lit("+1"),
-                text(200 + k % 800),
-                text(100 + (k * 7) % 900),
-                text(1000 + (k * 13) % 9000),
-            )
-        )
-        .alias("phone"),
-        F.when(k % 41 == 6, None)
-        .when(k % 11 == 1, F.concat(F.lit("X"), text(k)))
-        .when(k % 37 == 10, "PABCDEFGH")
-        .otherwise(F.concat(F.lit("P"), text(10000000 + (k * 7919) % 90000000)))
-        .alias("passport_no"),
-        F.col("n_name").alias("country"),
-        F.when(m < 9, "Economy")
-        .when(m < 14, "Premium Economy")
-        .when(m < 18, "Business")
-        .when(k % 3 == 0, None)
-        .otherwise("First Class")
-        .alias("segment"),
-        F.lit(LOADED_AT).alias("ingestion_timestamp"),
+    people = customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+        "c_custkey AS k",
+        f"{pick(S.FIRST_NAMES, 'c_custkey % 12')} AS fn",
+        f"{pick(S.LAST_NAMES, 'c_custkey % 13')} AS ln",
+        "(c_custkey * 7) % 20 AS m",
+        "n_name",
+    )
+    mapped = people.selectExpr(
+        f"""CASE WHEN k % 251 = 250 THEN NULL
+                 ELSE 'CUST' || {zero_padded("IF(k % 101 = 100, k, k + 1)", 6)} END AS customer_id""",
+        "fn || ' ' || ln AS full_name",
+        """CASE WHEN k % 19 = 5 THEN NULL
+                WHEN k % 17 = 3 THEN lower(fn || '.example.com')
+                WHEN k % 23 = 9 THEN lower(fn || '@x.')
+                ELSE lower(fn || '.' || ln || (k % 999 + 1) || '@example.com') END AS email""",
+        """CASE WHEN k % 29 = 4 THEN NULL
+                WHEN k % 13 = 2 THEN '555-0199'
+                WHEN k % 31 = 8 THEN '555-123-' || (1000 + k % 9000)
+                ELSE concat_ws('-', '+1', 200 + k % 800, 100 + (k * 7) % 900, 1000 + (k * 13) % 9000)
+           END AS phone""",
+        """CASE WHEN k % 41 = 6 THEN NULL
+                WHEN k % 11 = 1 THEN 'X' || k
+                WHEN k % 37 = 10 THEN 'PABCDEFGH'
+                ELSE 'P' || (10000000 + (k * 7919) % 90000000) END AS passport_no""",
+        "n_name AS country",
+        """CASE WHEN m < 9 THEN 'Economy' WHEN m < 14 THEN 'Premium Economy'
+                WHEN m < 18 THEN 'Business' WHEN k % 3 <> 0 THEN 'First Class' END AS segment""",
+        f"'{LOADED_AT}' AS ingestion_timestamp",
     )
     return enforce(mapped, S.CUSTOMER_RAW)

@@ -7,8 +7,7 @@ ids come from the caller: ``spark.range(n)`` or the keys of a table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from aerostrata import schemas as S
 from aerostrata.sources.bronze import enforce
@@ -19,58 +18,60 @@ DAYS = 90
 FIRST_DAY = "2024-01-01"
 
 
-def draw(stream: int, size: int) -> Column:
-    """A number in ``0..size-1`` for the row's ``id``; streams are unrelated.
+def draw(stream: int, size: int) -> str:
+    """SQL for a number in ``0..size-1`` from a row's ``id``; streams are unrelated.
 
-    Two rounds of multiply-modulo with an exclusive-or shift between them; no
-    product leaves 64 bits.
+    Rounds of multiply-modulo with exclusive-or shifts between them; no product
+    leaves 64 bits.
     """
-    x = (F.col("id") % _PRIME + stream * 1000003) % _PRIME * 48271 % _PRIME
-    x = x.bitwiseXOR(F.shiftright(x, 15)) % _PRIME * 69621 % _PRIME
-    x = x.bitwiseXOR(F.shiftright(x, 13)) % _PRIME * 48271 % _PRIME
-    return x % size
+    x = f"((id % {_PRIME} + {stream * 1000003}) % {_PRIME} * 48271 % {_PRIME})"
+    x = f"(({x} ^ shiftright({x}, 15)) % {_PRIME} * 69621 % {_PRIME})"
+    x = f"(({x} ^ shiftright({x}, 13)) % {_PRIME} * 48271 % {_PRIME})"
+    return f"({x} % {size})"
 
 
-def between(stream: int, low: int, high: int) -> Column:
-    return low + draw(stream, high - low + 1)
+def between(stream: int, low: int, high: int) -> str:
+    return f"({low} + {draw(stream, high - low + 1)})"
 
 
 def flights(ids: DataFrame, first_day: str = FIRST_DAY, days: int = DAYS) -> DataFrame:
     """One flight per id: three quarters on time, the others late."""
     airports = len(S.AIRPORTS)
-    start = draw(3, airports)
-    end = (start + 1 + draw(4, airports - 1)) % airports
-    on_time = draw(5, 100) < 75
-    made = ids.select(
-        F.date_add(F.lit(first_day).cast("date"), draw(1, days).cast("int")).cast("string").alias("flight_date"),
-        pick(S.AIRLINES, draw(2, len(S.AIRLINES))).alias("airline"),
-        pick(S.AIRPORTS, start).alias("origin"),
-        pick(S.AIRPORTS, end).alias("dest"),
-        F.when(on_time, between(6, -15, 15)).otherwise(between(7, 15, 180)).alias("arr_delay"),
-        F.when(on_time, between(8, -10, 20)).otherwise(between(9, 15, 150)).alias("dep_delay"),
-        between(10, 200, 3000).alias("distance"),
-        F.lit(LOADED_AT).alias("ingestion_timestamp"),
+    drawn = ids.selectExpr(
+        "id",
+        f"{draw(3, airports)} AS start",
+        f"{draw(4, airports - 1)} AS hop",
+        f"{draw(5, 100)} < 75 AS on_time",
+    )
+    made = drawn.selectExpr(
+        f"string(date_add(date'{first_day}', int({draw(1, days)}))) AS flight_date",
+        f"{pick(S.AIRLINES, draw(2, len(S.AIRLINES)))} AS airline",
+        f"{pick(S.AIRPORTS, 'start')} AS origin",
+        f"{pick(S.AIRPORTS, f'(start + 1 + hop) % {airports}')} AS dest",
+        f"IF(on_time, {between(6, -15, 15)}, {between(7, 15, 180)}) AS arr_delay",
+        f"IF(on_time, {between(8, -10, 20)}, {between(9, 15, 150)}) AS dep_delay",
+        f"{between(10, 200, 3000)} AS distance",
+        f"'{LOADED_AT}' AS ingestion_timestamp",
     )
     return enforce(made, S.FLIGHTS_RAW)
 
 
 def customers(ids: DataFrame) -> DataFrame:
     """One customer per id, numbered from the id, with well-formed values."""
-    first = pick(S.FIRST_NAMES, draw(11, len(S.FIRST_NAMES)))
-    last = pick(S.LAST_NAMES, draw(12, len(S.LAST_NAMES)))
-    digits = lambda *args: between(*args).cast("string")
-    made = ids.select(
-        F.concat(F.lit("CUST"), zero_padded(F.col("id") + 1, 6)).alias("customer_id"),
-        F.concat_ws(" ", first, last).alias("full_name"),
-        F.concat(
-            F.lower(first), F.lit("."), F.lower(last), digits(13, 1, 999), F.lit("@example.com")
-        ).alias("email"),
-        F.concat_ws(
-            "-", F.lit("+1"), digits(14, 200, 999), digits(15, 100, 999), digits(16, 1000, 9999)
-        ).alias("phone"),
-        F.concat(F.lit("P"), digits(17, 10000000, 99999999)).alias("passport_no"),
-        pick(S.COUNTRIES, draw(18, len(S.COUNTRIES))).alias("country"),
-        pick(S.SEGMENTS, draw(19, len(S.SEGMENTS))).alias("segment"),
-        F.lit(LOADED_AT).alias("ingestion_timestamp"),
+    drawn = ids.selectExpr(
+        "id",
+        f"{pick(S.FIRST_NAMES, draw(11, len(S.FIRST_NAMES)))} AS fn",
+        f"{pick(S.LAST_NAMES, draw(12, len(S.LAST_NAMES)))} AS ln",
+    )
+    made = drawn.selectExpr(
+        f"'CUST' || {zero_padded('id + 1', 6)} AS customer_id",
+        "fn || ' ' || ln AS full_name",
+        f"lower(fn || '.' || ln) || {between(13, 1, 999)} || '@example.com' AS email",
+        f"concat_ws('-', '+1', {between(14, 200, 999)}, {between(15, 100, 999)}, "
+        f"{between(16, 1000, 9999)}) AS phone",
+        f"'P' || {between(17, 10000000, 99999999)} AS passport_no",
+        f"{pick(S.COUNTRIES, draw(18, len(S.COUNTRIES)))} AS country",
+        f"{pick(S.SEGMENTS, draw(19, len(S.SEGMENTS)))} AS segment",
+        f"'{LOADED_AT}' AS ingestion_timestamp",
     )
     return enforce(made, S.CUSTOMER_RAW)

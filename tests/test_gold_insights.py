@@ -1,0 +1,236 @@
+from __future__ import annotations
+
+import statistics as stats_lib
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from aerostrata.operators import gold, insights, silver, views
+from aerostrata.schemas import SEGMENTS
+from aerostrata.sources import derived
+from tests.conftest import DATA
+
+SLOW = settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+
+def same(left, right) -> bool:
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def flights(spark):
+    return silver.flights(derived.flights_raw(spark, DATA)).cache()
+
+
+@pytest.fixture(scope="module")
+def segment_stats(spark):
+    return gold.customer_segment_stats(silver.customers(derived.customer_raw(spark, DATA))).cache()
+
+
+def test_late_means_more_than_fifteen_minutes(make_flights):
+    raw = make_flights({"arr_delay": 15}, {"arr_delay": 16}, {"arr_delay": None})
+    row = gold.flight_delay_kpi(silver.flights(raw)).first()
+    assert (row.total_flights, row.delayed_flights, float(row.delayed_rate_pct)) == (3, 1, 33.33)
+    assert (row.avg_arr_delay, row.median_arr_delay, row.max_arr_delay) == (15.5, 15.5, 16)
+
+
+def test_airline_with_unknown_delays(make_flights):
+    raw = make_flights({"arr_delay": None, "dep_delay": None, "distance": None})
+    row = gold.flight_delay_kpi(silver.flights(raw)).first()
+    assert (row.delayed_flights, float(row.delayed_rate_pct)) == (0, 0.0)
+    unknown = [
+        row.avg_arr_delay, row.avg_dep_delay, row.median_arr_delay, row.max_arr_delay,
+        row.min_arr_delay, row.avg_distance_miles, row.total_distance_miles,
+    ]
+    assert unknown == [None] * 7
+
+
+def test_mart_types(flights, segment_stats):
+    types = dict(gold.flight_delay_kpi(flights).dtypes)
+    assert types["delayed_rate_pct"] == "decimal(27,2)" and types["total_flights"] == "bigint"
+    assert types["max_arr_delay"] == "int" and types["median_arr_delay"] == "double"
+    routes = dict(gold.route_performance(gold.leg_rollup(flights)).dtypes)
+    assert routes["delayed_rate_pct"] == "decimal(27,2)" and routes["airlines_serving"] == "bigint"
+    assert dict(segment_stats.dtypes)["pct_in_country"] == "decimal(27,2)"
+
+
+def test_kpi_equals_direct_aggregates(flights):
+    """The two-step mart against one plain aggregate over all flights."""
+    direct = flights.groupBy("airline_code").agg(
+        F.count("*").alias("total_flights"),
+        F.round(F.avg("arr_delay"), 2).alias("avg_arr_delay"),
+        F.round(F.avg("dep_delay"), 2).alias("avg_dep_delay"),
+        F.round(F.median("arr_delay"), 2).alias("median_arr_delay"),
+        F.sum("distance_miles").alias("total_distance_miles"),
+    )
+    assert same(gold.flight_delay_kpi(flights).select(direct.columns), direct)
+
+
+@SLOW
+@given(st.lists(st.one_of(st.none(), st.integers(-60, 300)), min_size=1, max_size=40))
+def test_median_is_exact(make_flights, delays):
+    raw = make_flights(*[{"arr_delay": d} for d in delays])
+    row = gold.flight_delay_kpi(silver.flights(raw)).first()
+    known = [d for d in delays if d is not None]
+    assert row.median_arr_delay == (stats_lib.median(known) if known else None)
+    assert row.delayed_flights == sum(d > 15 for d in known)
+
+
+@pytest.mark.parametrize(("flown", "kept"), [(9, 0), (10, 1)])
+def test_smallest_route(make_flights, flown, kept):
+    legs = gold.leg_rollup(silver.flights(make_flights(*[{}] * flown)))
+    assert gold.route_performance(legs).count() == kept
+    assert views.airline_route_analysis(legs).count() == kept
+
+
+def test_routes_are_directed_and_count_airlines(make_flights):
+    raw = make_flights(*[{}] * 6, *[{"airline": "DL"}] * 4, *[{"origin": "BOS", "dest": "ATL"}] * 10)
+    routes = gold.route_performance(gold.leg_rollup(silver.flights(raw))).orderBy("route").collect()
+    assert [(r.route, r.total_flights, r.airlines_serving) for r in routes] == [
+        ("ATL → BOS", 10, 2),
+        ("BOS → ATL", 10, 1),
+    ]
+
+
+@pytest.mark.parametrize(("flown", "ranked", "busy"), [(49, 0, 0), (50, 1, 0), (99, 1, 0), (100, 1, 1)])
+def test_route_report_limits(make_flights, flown, ranked, busy):
+    legs = gold.leg_rollup(silver.flights(make_flights(*[{}] * flown)))
+    routes = gold.route_performance(legs)
+    assert insights.most_delayed_routes(routes).count() == ranked
+    assert insights.most_efficient_routes(routes).count() == ranked
+    assert insights.busy_route_airlines(legs).count() == busy
+
+
+def test_unknown_delays_rank_last_or_first(make_flights):
+    raw = make_flights(
+        *[{"arr_delay": 30}] * 50, *[{"dest": "LAX", "arr_delay": None}] * 50
+    )
+    routes = gold.route_performance(gold.leg_rollup(silver.flights(raw)))
+    assert [r.route for r in insights.most_delayed_routes(routes).collect()] == ["ATL → BOS", "ATL → LAX"]
+    first = insights.most_efficient_routes(routes).collect()
+    assert [r.route for r in first] == ["ATL → LAX", "ATL → BOS"] and first[0].avg_delay is None
+
+
+def test_airline_routes_equal_joins_over_all_flights(flights):
+    """Windows over the legs against joining every flight to both marts."""
+    kpi, routes = gold.flight_delay_kpi(flights), gold.route_performance(gold.leg_rollup(flights))
+    joined = (
+        flights.join(routes, gold.ROUTE_KEYS)
+        .join(kpi.select("airline_code", F.col("avg_arr_delay").alias("airline_avg_delay")), "airline_code")
+        .select(
+            "airline_code", "route", "total_flights", routes.avg_arr_delay, "delayed_rate_pct",
+            "airline_avg_delay",
+        )
+        .distinct()
+    )
+    found = views.airline_route_analysis(gold.leg_rollup(flights))
+    assert found.count() == 3999
+    assert same(found, joined)
+
+
+def test_busy_routes_weight_airlines_by_flights(flights):
+    kpi, legs = gold.flight_delay_kpi(flights), gold.leg_rollup(flights)
+    own = kpi.select("airline_code", F.col("avg_arr_delay").cast("decimal(18,2)").alias("own"))
+    fanned = (
+        flights.join(own, "airline_code")
+        .groupBy(*gold.ROUTE_KEYS)
+        .agg(
+            F.count_distinct("airline_code").alias("airlines"),
+            F.count("*").alias("total_flights"),
+            F.round(F.avg("own"), 1).cast("double").alias("avg_airline_delay"),
+            F.round(F.round(F.avg("arr_delay"), 2), 1).alias("route_avg_delay"),
+        )
+        .where("total_flights >= 100")
+        .withColumn("route", gold.route_label())
+        .drop(*gold.ROUTE_KEYS)
+    )
+    found = insights.busy_route_airlines(legs, k=1000)
+    assert found.count() == 207
+    assert same(found.select(sorted(found.columns)), fanned.select(sorted(found.columns)))
+
+
+def test_ratings_and_bands_at_their_limits(make_kpi):
+    rates = ["19.99", "20.00", "24.99", "25.00", "29.99", "30.00"]
+    kpi = make_kpi(*[(f"A{i}", r) for i, r in enumerate(rates)])
+    card = insights.airline_scorecard(kpi).orderBy("airline_code").collect()
+    assert [len(r.rating) for r in card] == [5, 4, 4, 3, 3, 2]
+    assert (card[1].avg_delay, card[1].delay_rate, card[1].avg_distance) == (
+        "12.3 min", "20.00%", "1500.0 mi",
+    )
+    bands = kpi.select(insights.L.band(F.col("delayed_rate_pct")).alias("b")).collect()
+    assert [r.b for r in bands] == ["✅ Good"] + ["⚠️  Fair"] * 4 + ["❌ Poor"]
+
+
+def test_extremes_break_ties_by_code(make_kpi):
+    kpi = make_kpi(("B", "10.00"), ("A", "10.00"), ("D", "30.00"), ("C", "30.00"))
+    found = {r.position: r.airline_code for r in insights.best_worst_airline(kpi).collect()}
+    assert found == {"best": "A", "worst": "C"}
+    bench = {r.category: (r.airline_code, float(r.metric)) for r in insights.efficiency_benchmark(kpi).collect()}
+    assert bench == {
+        "Best Performer": ("A", 10.0),
+        "Worst Performer": ("C", 30.0),
+        "Industry Average": ("N/A", 20.0),
+    }
+
+
+def test_reports_on_no_data(make_kpi, make_flights, segment_stats):
+    kpi = make_kpi(("A", "1.00")).limit(0)
+    legs = gold.leg_rollup(silver.flights(make_flights({}).limit(0)))
+    none = segment_stats.limit(0)
+    assert insights.best_worst_airline(kpi).count() == 0
+    assert [tuple(r) for r in insights.efficiency_benchmark(kpi).collect()] == [("Industry Average", "N/A", None)]
+    assert insights.operational_totals(kpi).first()[:] == (None, None, None, None, None, 0)
+    assert insights.segment_distribution(none).count() == 0
+    row = insights.key_insights(kpi, gold.route_performance(legs), gold.segment_totals(none)).first()
+    assert set(row) == {None}
+
+
+def test_two_overall_rates_differ(flights):
+    kpi = gold.flight_delay_kpi(flights)
+    assert float(gold.overall_totals(kpi).first().avg_delay_rate) == 23.59
+    assert float(insights.operational_totals(kpi).first().overall_delay_rate) == 23.60
+
+
+def test_segment_stats_drop_unknown_segments_before_the_shares(make_customers):
+    raw = make_customers(
+        {}, {"segment": None}, {"segment": "Business", "email": None}, {"country": "US"}
+    )
+    rows = gold.customer_segment_stats(silver.customers(raw)).collect()
+    found = {(r.segment, r.country): (r.customer_count, r.unique_emails, float(r.pct_in_country), float(r.pct_in_segment)) for r in rows}
+    assert found == {
+        ("Economy", "UK"): (1, 1, 50.0, 50.0),
+        ("Business", "UK"): (1, 0, 50.0, 100.0),
+        ("Economy", "US"): (1, 1, 100.0, 50.0),
+    }
+
+
+def test_unknown_country_has_no_top_segment(make_customers):
+    raw = make_customers({"country": None}, {"country": None}, {})
+    rows = insights.top_segment_by_country(gold.customer_segment_stats(silver.customers(raw))).collect()
+    assert [(r.country, r.top_segment) for r in rows] == [("UK", "Economy")]
+
+
+def test_ranks_leave_gaps_after_ties(make_customers):
+    raw = make_customers({}, {"segment": "Business"}, *[{"segment": "First Class"}] * 2)
+    ranks = views.customer_segment_detail(gold.customer_segment_stats(silver.customers(raw)))
+    assert {r.segment: r.rank_in_country for r in ranks.collect()} == {
+        "First Class": 1, "Business": 2, "Economy": 2,
+    }
+
+
+@SLOW
+@given(
+    st.lists(
+        st.tuples(st.sampled_from([*SEGMENTS, None]), st.sampled_from(["UK", "US", None])), max_size=40
+    )
+)
+def test_shares_add_up(make_customers, cells):
+    raw = make_customers({}, *[{"segment": s, "country": c} for s, c in cells])
+    stats = gold.customer_segment_stats(silver.customers(raw))
+    for key, share in (("country", "pct_in_country"), ("segment", "pct_in_segment")):
+        sums = stats.groupBy(key).agg(F.sum(share).alias("s"), F.count("*").alias("n")).collect()
+        assert all(abs(float(r.s) - 100) <= 0.005 * r.n for r in sums)
