@@ -11,7 +11,7 @@ from aerostrata.functions import personal_data as P
 from aerostrata.operators import governance, silver
 
 SLOW = settings(
-    max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 

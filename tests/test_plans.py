@@ -42,7 +42,6 @@ def test_no_python_and_no_cross_product(spark, name):
         ("busy_route_airlines", "lineitem"),
         ("best_worst_airline", "lineitem"),
         ("efficiency_benchmark", "lineitem"),
-        ("dq_bronze_flights", "lineitem"),
         ("dq_silver_customers", "customer"),
         ("pii_text_scan", "documents"),
     ],
@@ -98,3 +97,10 @@ def test_detection_does_not_shuffle(spark, stored):
     )
     plan = physical(governance.detection(customers))
     assert "Exchange" not in plan and "*(1)" in plan
+
+
+def test_no_sort_before_grouping(spark):
+    """Every grouping hashes; a sort is only left to windows, previews and layouts."""
+    for name in LAZY:
+        plan = physical(entry.queries()[name](spark, SMALL))
+        assert not [line for line in plan.splitlines() if "SortAggregate(key=[" in line and "(key=[]" not in line], name
