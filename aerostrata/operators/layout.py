@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FLIGHT_CLUSTERING = ["flight_date", "airline_code"]
@@ -72,3 +72,15 @@ def z_ordered(
 def write_clustered(df: DataFrame, table: str, columns: list[str], files: int | None = None) -> None:
     """Store the rows as a managed table with clustered files."""
     z_ordered(df, columns, files).write.mode("overwrite").format("parquet").saveAsTable(table)
+
+
+def recluster(spark: SparkSession, table: str, columns: list[str], files: int | None = None) -> None:
+    """Rewrite a stored table clustered; its rows and schema stay the same.
+
+    The new files are written beside the table and take its name once they are
+    complete, so a job that fails leaves the table untouched.
+    """
+    staged = f"{table}_clustered"
+    write_clustered(spark.table(table), staged, columns, files)
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")

@@ -89,6 +89,11 @@ def _synthetic_customers(i: Inputs) -> DataFrame:
     return synthetic.customers(i.parquet("customer").select(F.col("c_custkey").alias("id")))
 
 
+def _preview(df: DataFrame, n: int) -> DataFrame:
+    shown = df.drop(*STAMPS)
+    return catalog.preview(shown, n, *shown.columns)
+
+
 def _overwritten_table(i: Inputs) -> DataFrame:
     layers = catalog.scratch_layers(i.spark)
     return catalog.replace_table(i.flights_raw, f"{layers.raw}.overwrite_check")
@@ -115,10 +120,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "table_overwrite_roundtrip": _overwritten_table,
     "zorder_flights": lambda i: layout.z_ordered(i.flights, layout.FLIGHT_CLUSTERING),
     "zorder_customers": lambda i: layout.z_ordered(i.customers, layout.CUSTOMER_CLUSTERING),
-    "preview_flights": lambda i: catalog.preview(i.flights, 5, *i.flights.columns),
-    "preview_customers": lambda i: catalog.preview(
-        i.customers.select(*silver.CUSTOMER_PREVIEW), 5, *silver.CUSTOMER_PREVIEW
-    ),
+    "preview_flights": lambda i: _preview(i.flights, 5),
+    "preview_customers": lambda i: _preview(i.customers.select(*silver.CUSTOMER_PREVIEW), 5),
     # silver
     "silver_flights": lambda i: i.flights,
     "silver_customers": lambda i: i.customers,
@@ -157,16 +160,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "pii_confidence_dist": lambda i: governance.confidence_distribution(i.detected),
     "pii_result_roundtrip": _stored_detection,
     "customer_masked": lambda i: governance.masked_customers(i.customers),
-    "preview_masked": lambda i: catalog.preview(
-        governance.masked_customers(i.customers.drop(*STAMPS).withColumn(STAMPS[0], F.lit(None))),
-        3,
-        "customer_id",
-        "full_name_masked",
-        "email_masked",
-        "phone_masked",
-        "country",
-        "segment",
-    ),
+    "preview_masked": lambda i: _preview(governance.masked_customers(i.customers), 3),
     "pii_report_overall": lambda i: governance.report_overall(i.detected),
     "pii_type_distribution": lambda i: governance.type_distribution(i.detected),
     "pii_discrepancy_count": lambda i: governance.discrepancy_count(i.detected),

@@ -141,6 +141,17 @@ def test_clustering_narrows_every_column(spark, tmp_path):
     assert same(stored.select(source.columns), source)
 
 
+def test_stored_table_can_be_clustered_later(spark, scratch):
+    raw = catalog.replace_table(derived.flights_raw(spark, SMALL), scratch.flights_raw)
+    before = catalog.replace_table(raw, f"{scratch.raw}.copy")
+    for _ in range(2):
+        layout.recluster(spark, scratch.flights_raw, ["flight_date", "airline"], files=4)
+    after = spark.table(scratch.flights_raw)
+    assert after.schema == before.schema and same(after, before)
+    assert len(after.inputFiles()) == 4
+    assert not spark.catalog.tableExists(f"{scratch.flights_raw}_clustered")
+
+
 def test_clustering_splits_a_frequent_value(spark):
     """Nine tenths of the rows are copies of one row; no file may take them all."""
     rows = spark.range(0, 100_000, numPartitions=8).select(

@@ -1,4 +1,7 @@
-"""Time plain query shapes against the shapes used here: ``shapes.py DATA_DIR``.
+"""Time plain query shapes against the shapes used here: ``shapes.py DATA_DIR [ROWS]``.
+
+With a row count, that many synthetic flights and a tenth as many customers
+are used instead of the tables of the folder.
 
 The plain shapes give the same rows in the most direct way: joining single
 flights to the marts, one scan per metric, a Python function per value, a
@@ -17,8 +20,17 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from aerostrata.operators import gold, governance, insights, quality, statistics, views  # noqa: E402
+from aerostrata.operators import (  # noqa: E402
+    gold,
+    governance,
+    insights,
+    quality,
+    silver,
+    statistics,
+    views,
+)
 from aerostrata.plans.registry import Inputs  # noqa: E402
+from aerostrata.sources import synthetic  # noqa: E402
 from bench import consume, session, timed  # noqa: E402
 from tests.test_personal_data import expected_kind  # noqa: E402
 
@@ -74,13 +86,22 @@ def plain_classifier(customers):
     return customers.select(*[kind(c) for c in ("full_name", "email", "phone", "passport_no")])
 
 
-def main(data_dir: str) -> None:
+def main(data_dir: str, rows: int | None = None) -> None:
     spark = session("8")
     inputs, store = Inputs(spark, data_dir), tempfile.mkdtemp(prefix="shapes-")
-    frames = {"flights": inputs.flights, "customers": inputs.customers, "kpi": inputs.kpi, "routes": inputs.routes}
-    for name, frame in frames.items():
-        frame.repartition(8).write.parquet(f"{store}/{name}")
-    flights, customers, kpi, routes = (spark.read.parquet(f"{store}/{name}") for name in frames)
+
+    def stored(name, frame):
+        frame.write.parquet(f"{store}/{name}")
+        return spark.read.parquet(f"{store}/{name}")
+
+    if rows:
+        source = silver.flights(synthetic.flights(spark.range(rows)))
+        people = silver.customers(synthetic.customers(spark.range(rows // 10)))
+    else:
+        source, people = inputs.flights.repartition(8), inputs.customers.repartition(8)
+    flights, customers = stored("flights", source), stored("customers", people)
+    kpi = stored("kpi", gold.flight_delay_kpi(flights))
+    routes = stored("routes", gold.route_performance(gold.leg_rollup(flights)))
     pairs = {
         "airline mart": (lambda: plain_kpi(flights), lambda: gold.flight_delay_kpi(flights)),
         "airline x route view": (
@@ -112,12 +133,12 @@ def main(data_dir: str) -> None:
         medians = []
         for shape in shapes:
             consume(shape())
-            medians.append(stats_lib.median(timed(lambda shape=shape: consume(shape())) for _ in range(5)))
+            medians.append(stats_lib.median(timed(lambda shape=shape: consume(shape())) for _ in range(3)))
         print(f"{name:24} plain {medians[0]:6.3f} s   here {medians[1]:6.3f} s")
     spark.stop()
 
 
 if __name__ == "__main__":
     start = time.time()
-    main(sys.argv[1])
+    main(sys.argv[1], *map(int, sys.argv[2:]))
     print(f"took {time.time() - start:.0f} s")
