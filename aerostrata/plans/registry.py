@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostrata.functions.shape import plain_numbers
 from aerostrata.operators import (
@@ -19,7 +20,7 @@ from aerostrata.operators import (
     views,
 )
 from aerostrata.plans import pipeline
-from aerostrata.sources import catalog, derived, synthetic
+from aerostrata.sources import bronze, catalog, derived, synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +33,10 @@ class Inputs:
     def __init__(self, spark: SparkSession, data_dir: str):
         self.spark, self.data_dir = spark, data_dir
 
-    def parquet(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.data_dir}/{name}.parquet")
+    def parquet(self, name: str, columns: str) -> DataFrame:
+        """A table by name, with the columns and types that are needed of it."""
+        schema = T.StructType.fromDDL(columns)
+        return bronze.read_table(self.spark, f"{self.data_dir}/{name}.parquet", schema)
 
     @property
     def flights_raw(self) -> DataFrame:
@@ -81,12 +84,13 @@ class Inputs:
 
 
 def _synthetic_flights(i: Inputs) -> DataFrame:
-    keys = i.parquet("lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
-    return synthetic.flights(keys)
+    lines = i.parquet("lineitem", "l_orderkey bigint, l_linenumber int")
+    return synthetic.flights(lines.selectExpr("l_orderkey * 8 + l_linenumber AS id"))
 
 
 def _synthetic_customers(i: Inputs) -> DataFrame:
-    return synthetic.customers(i.parquet("customer").select(F.col("c_custkey").alias("id")))
+    people = i.parquet("customer", "c_custkey bigint")
+    return synthetic.customers(people.withColumnRenamed("c_custkey", "id"))
 
 
 def _preview(df: DataFrame, n: int) -> DataFrame:
@@ -166,7 +170,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "pii_discrepancy_count": lambda i: governance.discrepancy_count(i.detected),
     "pii_discrepancy_sample": lambda i: governance.discrepancy_sample(i.detected),
     "customer_masked_readme": lambda i: governance.masked_customers_documented(i.customers),
-    "pii_text_scan": lambda i: governance.text_scan(i.parquet("documents")),
+    "pii_text_scan": lambda i: governance.text_scan(i.parquet("documents", "lang string, text string")),
     # business questions
     "airline_scorecard": lambda i: insights.airline_scorecard(i.kpi),
     "delay_spread": lambda i: insights.delay_spread(i.kpi),
