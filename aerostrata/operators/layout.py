@@ -4,12 +4,25 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FLIGHT_CLUSTERING = ["flight_date", "airline_code"]
 CUSTOMER_CLUSTERING = ["country", "segment"]
 
+# Largest code table that is broadcast, and most cells of a broadcast cell table.
+BROADCAST_BYTES = 64 << 20
+BROADCAST_CELLS = 1 << 20
+
+
+def _table_bytes(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    """Rough size of each column's code table, from one pass over those columns."""
+    estimates = [
+        F.approx_count_distinct(c) * (F.coalesce(F.max(F.octet_length(c)), F.lit(0)) + 64)
+        for c in columns
+    ]
+    return dict(zip(columns, df.agg(*estimates).first(), strict=True))
+
 
 def _codes(df: DataFrame, column: str, bits: int) -> DataFrame:
     """Each value of a column with an ordered code of ``bits`` bits.
@@ -48,25 +61,55 @@ def z_ordered(
 ) -> DataFrame:
     """The same rows, laid out so that each given column has narrow file ranges.
 
-    Code tables hold one row per different value and are joined without a hint:
-    Spark broadcasts them if they are small and sorts otherwise.  A z-value that
-    covers a large part of the rows is cut further by the rows' read position,
-    so it never ends up in one task.  The position is taken from the plain scan,
-    before any shuffle, and is the same when a task is run again.
+    The rows are numbered along the z-curve and cut into equal files: a count
+    per z-cell, which reads the given columns only, tells where each cell
+    starts, and the rows of a cell are spread over its stretch by their read
+    position.  So the full rows are read and shuffled once, files are even, and
+    a cell that covers much of the table is cut over many tasks.  The position
+    is taken from the plain scan, before any shuffle, and is the same when a
+    task is run again.
+
+    The columns' code tables are broadcast if a first pass finds them small and
+    joined by a shuffle otherwise; there are at most ``2 ** (bits * columns)``
+    cells whatever the data.
     """
-    original = df.columns
-    work = df.withColumn("_position", F.monotonically_increasing_id())
-    codes = []
-    for i, column in enumerate(columns):
-        table = _codes(df, column, bits).select(
-            F.col("value").alias(f"_value{i}"), F.col("code").alias(f"_code{i}")
-        )
-        work = work.join(table, F.col(column) == F.col(f"_value{i}"), "left")
-        codes.append(F.coalesce(F.col(f"_code{i}"), F.lit(0).cast("bigint")))
-    work = work.withColumn("_z", _interleaved(codes, bits))
-    by = ["_z", "_position"]
-    spread = work.repartitionByRange(files, *by) if files else work.repartitionByRange(*by)
-    return spread.sortWithinPartitions(*by).select(*original)
+    original, files = df.columns, files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = _table_bytes(df, columns)
+
+    def with_z(rows: DataFrame) -> DataFrame:
+        codes = []
+        for i, column in enumerate(columns):
+            table = _codes(df, column, bits).toDF(f"_value{i}", f"_code{i}")
+            if sizes[column] <= BROADCAST_BYTES:
+                table = F.broadcast(table)
+            rows = rows.join(table, F.col(column) == F.col(f"_value{i}"), "left")
+            codes.append(F.coalesce(F.col(f"_code{i}"), F.lit(0).cast("bigint")))
+        return rows.withColumn("_z", _interleaved(codes, bits))
+
+    counts = with_z(df.select(*columns)).groupBy("_z").agg(F.count("*").alias("_rows"))
+    curve = Window.orderBy("_z")
+    before = curve.rowsBetween(Window.unboundedPreceding, -1)
+    whole = curve.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cells = counts.select(
+        F.col("_z").alias("_cell"),
+        "_rows",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
+        F.sum("_rows").over(whole).alias("_total"),
+    )
+    if 1 << (bits * len(columns)) <= BROADCAST_CELLS:
+        cells = F.broadcast(cells)
+
+    spread = F.xxhash64("_position")
+    place = (F.col("_start") + F.pmod(spread, F.col("_rows"))) / F.col("_total")
+    file = F.least(F.floor(place * files), F.lit(files - 1))
+    return (
+        with_z(df.withColumn("_position", F.monotonically_increasing_id()))
+        .join(cells, F.col("_z") == F.col("_cell"), "left")
+        .withColumn("_file", F.coalesce(file, F.pmod(spread, F.lit(files))).cast("int"))
+        .repartitionById(files, "_file")
+        .sortWithinPartitions("_z")
+        .select(*original)
+    )
 
 
 def write_clustered(df: DataFrame, table: str, columns: list[str], files: int | None = None) -> None:

@@ -165,6 +165,25 @@ def test_clustering_splits_a_frequent_value(spark):
     assert same(laid_out.groupBy("country", "segment").count(), rows.groupBy("country", "segment").count())
 
 
+def test_large_code_tables_are_not_broadcast(spark, monkeypatch):
+    rows = spark.range(5000).select("id", (F.col("id") % 40).cast("string").alias("a"), F.col("id").cast("string").alias("b"))
+    broadcast = layout.z_ordered(rows, ["a", "b"], files=4)
+    monkeypatch.setattr(layout, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(layout, "BROADCAST_CELLS", 0)
+    shuffled = layout.z_ordered(rows, ["a", "b"], files=4)
+    hints = [df._jdf.queryExecution().analyzed().toString().count("strategy=broadcast") for df in (broadcast, shuffled)]
+    assert hints[0] >= 3 and hints[1] == 0
+    assert same(broadcast, rows) and same(shuffled, rows)
+    assert not layout._table_bytes(rows, ["a", "b"])["b"] < 5000 * 60
+
+
+def test_clustered_files_are_even(spark):
+    flights = silver.flights(derived.flights_raw(spark, DATA))
+    laid_out = layout.z_ordered(flights, layout.FLIGHT_CLUSTERING, files=16)
+    sizes = [r["count"] for r in laid_out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.1 * min(sizes)
+
+
 def test_clustering_of_empty_and_constant_columns(spark):
     rows = spark.range(10).select(F.lit("x").alias("a"), F.lit(None).cast("string").alias("b"))
     assert layout.z_ordered(rows, ["a", "b"], files=2).count() == 10
