@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostrata.llm import packing, token_files
+import corpus_pipeline
+from aerostrata.llm import (
+    byte_pieces,
+    length_histogram,
+    licences,
+    neighbours,
+    packing,
+    pseudonyms,
+    quality_rules,
+    simhash,
+    token_files,
+    winnowing,
+)
+from aerostrata.llm.oracles import ORACLES
 from aerostrata.llm.staging import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +31,22 @@ def _table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
 
+def op1_pseudonyms(spark: SparkSession, data_dir: str) -> DataFrame:
+    """All documents with private values replaced, and how many there were in each."""
+    replaced = pseudonyms.pseudonymized(
+        _table(spark, data_dir, "documents"), key=corpus_pipeline.PSEUDONYM_KEY, counts_col="n_replaced"
+    )
+    return replaced.select("doc_id", "n_replaced", "text")
+
+
+def op2_length_histogram(spark: SparkSession, data_dir: str) -> DataFrame:
+    """For every length that occurs: documents and tokens below, above and if cut there."""
+    lengths = length_histogram.histogram(
+        _table(spark, data_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return length_histogram.suffix_sums(lengths)
+
+
 def op3_token_file(spark: SparkSession, data_dir: str) -> DataFrame:
     """Documents as read back from a Huffman-coded token file."""
     file = token_files.write(
@@ -31,27 +60,99 @@ def op3_token_file(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(
+        _table(spark, data_dir, "documents"),
+        run_folder(spark, "simhash"),
+        shingle_words=corpus_pipeline.SHINGLE_WORDS,
+        radius=corpus_pipeline.RADIUS,
+    )
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def op5_line_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    """All documents without later repeats of runs of 50 words and more."""
+    left = winnowing.deduplicated(
+        _table(spark, data_dir, "documents"),
+        run_folder(spark, "lines"),
+        lines_col="n_lines",
+        deleted_col="n_deleted_lines",
+    )
+    return left.select("doc_id", "n_lines", "n_deleted_lines", "text")
+
+
+def op6_licences(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Known licence sentences and recognised licences of every document."""
+    found = licences.with_licences(_table(spark, data_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("licence_sentences").cast("long").alias("n_sentences"),
+        F.array_join("licence_sentences", ",").alias("sentences"),
+        F.array_join("licences", ",").alias("licences"),
+    )
+
+
+def op7_byte_pieces(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of the bytes decoded from them."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_pieces.encode(
+        _table(spark, data_dir, "documents"), ranks, public_tokenizers.PATTERN
+    )
+    return byte_pieces.decode(encoded, ranks).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_packing(spark: SparkSession, data_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 2048 tokens."""
-    cut, placed = packing.packed(
-        _table(spark, data_dir, "documents"),
-        run_folder(spark, "packing"),
-        public_tokenizers.path("word_bpe_49k.json"),
-        capacity=2048,
-        end_id=0,
+    return corpus_pipeline.packed(spark, _table(spark, data_dir, "documents"))
+
+
+def op9_neighbours(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The 20 nearest found for every vector whose id is divisible by 20."""
+    return neighbours.search(
+        _table(spark, data_dir, "embeddings"),
+        F.col("vec_id") % 20 == 0,
+        run_folder(spark, "neighbours"),
+        k=20,
+        dim=64,
     )
-    digests = cut.select("uid", "piece", F.crc32("ids").alias("ids_crc32"))
-    return placed.join(digests, ["uid", "piece"]).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+
+
+def op10_quality_rules(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Measurements of every document and the verdicts of two policies."""
+    judged = quality_rules.with_ledger(_table(spark, data_dir, "documents"))
+    failed = F.col("quality.failed")
+    return judged.select(
+        "doc_id",
+        *(f"quality.{m}" for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
+        failed.alias("failed_rules"),
+        quality_rules.rejected(failed, quality_rules.POLICIES["base"]).alias("base_failed"),
+        (~quality_rules.rejected(failed, quality_rules.POLICIES["v1"])).alias("kept"),
     )
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_pseudonyms": op1_pseudonyms,
+        "op2_length_histogram": op2_length_histogram,
         "op3_token_file": op3_token_file,
+        "op4_simhash": op4_simhash,
+        "op5_line_dedup": op5_line_dedup,
+        "op6_licences": op6_licences,
+        "op7_byte_pieces": op7_byte_pieces,
         "op8_packing": op8_packing,
+        "op9_neighbours": op9_neighbours,
+        "op10_quality_rules": op10_quality_rules,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

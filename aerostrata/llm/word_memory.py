@@ -21,7 +21,7 @@ import regex
 from aerostrata.llm.staging import ragged, slices
 
 PIECES_KEPT = 500_000
-CHARACTERS_AT_ONCE = 2_000_000
+CHARACTERS_AT_ONCE = 500_000
 
 # The split of byte-level BPE, and the letter that stands for each byte.
 BYTE_LEVEL_PATTERN = (
