@@ -20,15 +20,17 @@ WITH split AS (
     FROM (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM every)
     WHERE words > 0
 ), own AS (
-    SELECT doc_id, list(line ORDER BY ord) AS lines, list(pos ORDER BY ord) AS places FROM worded GROUP BY doc_id
+    SELECT doc_id, list(line ORDER BY ord) AS lines, list(pos ORDER BY ord) AS places,
+           list(sums ORDER BY ord) AS sums, list(sums - words + 50 ORDER BY ord) AS needs
+    FROM worded GROUP BY doc_id
+), starts AS (
+    SELECT *, unnest(generate_series(1, len(lines))) AS first FROM own
 ), spans AS (
-    SELECT a.doc_id, a.ord AS first, min(b.ord) AS last
-    FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.ord >= a.ord AND b.sums >= a.sums - a.words + 50
-    GROUP BY a.doc_id, a.ord
+    SELECT *, 1 + len([x FOR x IN sums IF x < needs[first]]) AS last FROM starts
 ), windows AS (
     SELECT doc_id, places[first] AS from_line, places[last] AS to_line,
            array_to_string(list_slice(lines, first, last), chr(10)) AS content
-    FROM spans JOIN own USING (doc_id)
+    FROM spans WHERE last <= len(lines)
 ), later AS (
     SELECT * FROM (
         SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, from_line) AS n FROM windows

@@ -119,7 +119,9 @@ def with_ledger(docs: DataFrame, text_col: str = "text", out: str = "quality") -
         (F.when(F.expr(rule), F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, rule) in enumerate(RULES)),
     )
     ledger = F.struct(*MEASURES, failed.cast("long").alias("failed"))
-    return df.select("doc.*", ledger.alias(out))
+    # a one-row explode keeps filters on the ledger from being moved below it, where
+    # every use of a measurement would compute it anew
+    return df.select("doc.*", F.explode(F.array(ledger)).alias(out))
 
 
 def rejected(failed: Column, policy: int) -> Column:
