@@ -74,18 +74,29 @@ def mask_phone(phone: Column) -> Column:
 
 
 # The second, documented masking style: J*** D***, j***@example.com, +1-555-***-****.
+# A value that does not have the documented shape is masked as a whole.
+_NAME_SHAPE = r"^\p{L}+( \p{L}+)*\z"
+_EMAIL_SHAPE = r"^[^@\s]+@[^@\s.]+(\.[^@\s.]+)+\z"
+_PHONE_SHAPE = r"^\+[0-9]{1,3}-[0-9]{3}-[0-9]{3}-[0-9]{4}\z"
+
+
+def _masked(value: Column, shape: str, shown: Column, hidden: str) -> Column:
+    return F.when(value.rlike(shape), shown).when(value.isNotNull(), hidden)
+
+
 def mask_name_by_word(name: Column) -> Column:
-    return F.regexp_replace(name, r"(\p{L})\p{L}*", "$1***")
+    shown = F.regexp_replace(name, r"(\p{L})\p{L}*", "$1***")
+    return _masked(name, _NAME_SHAPE, shown, NAME_MASK)
 
 
 def mask_email_keep_domain(email: Column) -> Column:
-    return F.concat(
-        F.substring(email, 1, 1), F.lit("***@"), F.substring_index(email, "@", -1)
-    )
+    shown = F.concat(F.substring(email, 1, 1), F.lit("***@"), F.substring_index(email, "@", -1))
+    return _masked(email, _EMAIL_SHAPE, shown, "***@***")
 
 
 def mask_phone_tail(phone: Column) -> Column:
-    return F.regexp_replace(phone, r"\d{3}-\d{4}$", PHONE_MASK)
+    shown = F.regexp_replace(phone, r"\d{3}-\d{4}$", PHONE_MASK)
+    return _masked(phone, _PHONE_SHAPE, shown, PHONE_MASK)
 
 
 # Shapes searched for inside free text.  A shape may not start or end in the

@@ -130,7 +130,9 @@ def customer_segment_stats(customers: DataFrame) -> DataFrame:
 
 
 def segment_totals(stats: DataFrame) -> DataFrame:
-    return stats.groupBy("segment").agg(F.sum("customer_count").alias("total"))
+    """Customers per segment, the largest first."""
+    totals = stats.groupBy("segment").agg(F.sum("customer_count").alias("total"))
+    return totals.orderBy(F.desc("total"), "segment")
 
 
 def overall_totals(kpi: DataFrame) -> DataFrame:

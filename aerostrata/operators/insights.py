@@ -17,7 +17,8 @@ BUSY_ROUTE_FLIGHTS = 100
 
 
 def airline_scorecard(kpi: DataFrame) -> DataFrame:
-    return kpi.select(
+    """All airlines, the most punctual first."""
+    return kpi.orderBy("delayed_rate_pct", "airline_code").select(
         "airline_code",
         "total_flights",
         L.with_unit(F.col("avg_arr_delay"), 1, " min").alias("avg_delay"),
@@ -94,6 +95,7 @@ def segment_distribution(stats: DataFrame) -> DataFrame:
             F.count_distinct("country").alias("countries"),
         )
         .withColumn("percentage", percent(F.col("total_customers"), everyone))
+        .orderBy(F.desc("total_customers"), "segment")
     )
 
 

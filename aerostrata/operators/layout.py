@@ -2,46 +2,53 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from aerostrata.sources.catalog import shared_folder
+
 FLIGHT_CLUSTERING = ["flight_date", "airline_code"]
 CUSTOMER_CLUSTERING = ["country", "segment"]
+ROWS_PER_FILE = 4_000_000
 
-# Largest code table that is broadcast, and most cells of a broadcast cell table.
-BROADCAST_BYTES = 64 << 20
-BROADCAST_CELLS = 1 << 20
+#: Cells of the z-curve have this many bits in all unless told otherwise, and at most.
+CELL_BITS, MOST_CELL_BITS = 16, 20
 
 
-def _table_bytes(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Rough size of each column's code table, from one pass over those columns."""
-    estimates = [
-        F.approx_count_distinct(c) * (F.coalesce(F.max(F.octet_length(c)), F.lit(0)) + 64)
-        for c in columns
-    ]
-    return dict(zip(columns, df.agg(*estimates).first(), strict=True))
+def _bounds(tuples: DataFrame, column: str, bits: int) -> list:
+    """The smallest values of at most ``2 ** bits`` ranges of a column, in order.
+
+    Few different values are their own ranges; more of them are cut into even ranges by
+    range partitioning, of which only the smallest values come back.
+    """
+    most = 1 << bits
+    values = tuples.select(column).where(F.col(column).isNotNull()).distinct()
+    first = [r[0] for r in values.orderBy(column).limit(most + 1).collect()]
+    if len(first) <= most:
+        return first
+    parts = values.repartitionByRange(most, column).groupBy(F.spark_partition_id())
+    return sorted(r[0] for r in parts.agg(F.min(column).alias("low")).select("low").collect())
 
 
-def _codes(df: DataFrame, column: str, bits: int) -> DataFrame:
-    """Each value of a column with an ordered code of ``bits`` bits.
+def _code(column: str, bounds: list, bits: int) -> Column:
+    """The range of a value, stretched to ``bits`` bits; NULL and no bounds give zero.
 
-    The different values are range-partitioned into at most ``2**bits`` parts
-    and coded by their part, so no task ever holds all of them; the codes are
-    stretched so that columns with few values use their high bits too.
+    A value is compared with every ``step``-th bound and then with those in between.
     """
-    steps = 1 << bits
-    parts = (
-        df.select(column)
-        .where(F.col(column).isNotNull())
-        .distinct()
-        .repartitionByRange(steps, column)
-        .select(column, F.spark_partition_id().alias("part"))
-    )
-    used = parts.agg(F.max("part") + 1).scalar()
-    code = F.floor(F.col("part") * steps / used).cast("bigint")
-    return parts.select(F.col(column).alias("value"), code.alias("code"))
+    if not bounds:
+        return F.lit(0).cast("bigint")
+    step = max(1, int(len(bounds) ** 0.5))
+    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    literals = lambda values: F.array(*[F.lit(v) for v in values])
+    reached = lambda values: F.size(F.filter(values, lambda b: b <= F.col(column)))
+    group = reached(literals([g[0] for g in groups])) - 1
+    inner = F.get(F.array(*[literals(g) for g in groups]), group)
+    number = group * step + reached(inner) - 1
+    code = F.floor(number * F.lit(1 << bits) / F.lit(len(bounds))).cast("bigint")
+    return F.coalesce(code, F.lit(0).cast("bigint"))
 
 
 def _interleaved(codes: list[Column], bits: int) -> Column:
@@ -57,73 +64,90 @@ def _interleaved(codes: list[Column], bits: int) -> Column:
 
 
 def z_ordered(
-    df: DataFrame, columns: list[str], files: int | None = None, bits: int = 8
+    df: DataFrame,
+    columns: list[str],
+    files: int | None = None,
+    bits: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> DataFrame:
     """The same rows, laid out so that each given column has narrow file ranges.
 
-    The rows are numbered along the z-curve and cut into equal files: a count
-    per z-cell, which reads the given columns only, tells where each cell
-    starts, and the rows of a cell are spread over its stretch by their read
-    position.  So the full rows are read and shuffled once, files are even, and
-    a cell that covers much of the table is cut over many tasks.  The position
-    is taken from the plain scan, before any shuffle, and is the same when a
-    task is run again.
-
-    The columns' code tables are broadcast if a first pass finds them small and
-    joined by a shuffle otherwise; there are at most ``2 ** (bits * columns)``
-    cells whatever the data.
+    The input is read twice.  The first pass folds it to the different tuples of the
+    given columns with their counts, which are stored; they give the ranges of each
+    column, the rows of each cell of the z-curve and the number of files.  The second
+    numbers the rows along the curve and cuts them into even files: a cell that covers
+    much of the table is spread over its stretch by read position, so it is cut
+    over as many tasks as it fills.  Full rows are shuffled once, by file.
+
+    ``df`` must be a stored table, with projections and filters at most: there the read
+    position is the same when a task is run again.  There are at most ``2 ** 20`` cells,
+    whatever the number of columns and the data, so their table is broadcast.
     """
-    original, files = df.columns, files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = _table_bytes(df, columns)
-
-    def with_z(rows: DataFrame) -> DataFrame:
-        codes = []
-        for i, column in enumerate(columns):
-            table = _codes(df, column, bits).toDF(f"_value{i}", f"_code{i}")
-            if sizes[column] <= BROADCAST_BYTES:
-                table = F.broadcast(table)
-            rows = rows.join(table, F.col(column) == F.col(f"_value{i}"), "left")
-            codes.append(F.coalesce(F.col(f"_code{i}"), F.lit(0).cast("bigint")))
-        return rows.withColumn("_z", _interleaved(codes, bits))
-
-    counts = with_z(df.select(*columns)).groupBy("_z").agg(F.count("*").alias("_rows"))
-    curve = Window.orderBy("_z")
+    bits = bits or max(1, CELL_BITS // len(columns))
+    if bits * len(columns) > MOST_CELL_BITS:
+        raise ValueError(f"{len(columns)} columns of {bits} bits make more than 2**{MOST_CELL_BITS} cells")
+    spark, original = df.sparkSession, df.columns
+    path = f"{shared_folder(spark)}/clustering-{uuid.uuid4().hex}"
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_rows"))
+    counted.write.parquet(path)
+    tuples = spark.read.schema(counted.schema).parquet(path)
+    codes = [_code(c, _bounds(tuples, c, bits), bits) for c in columns]
+    z = _interleaved(codes, bits)
+
+    curve = Window.orderBy("_cell")
     before = curve.rowsBetween(Window.unboundedPreceding, -1)
     whole = curve.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cells = counts.select(
-        F.col("_z").alias("_cell"),
+    cells = tuples.groupBy(z.alias("_cell")).agg(F.sum("_rows").alias("_rows"))
+    cells = cells.select(
+        "_cell",
         "_rows",
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
         F.sum("_rows").over(whole).alias("_total"),
     )
-    if 1 << (bits * len(columns)) <= BROADCAST_CELLS:
-        cells = F.broadcast(cells)
+    total = tuples.agg(F.sum("_rows")).first()[0] or 0
+    files = files or total // rows_per_file + 1
 
     spread = F.xxhash64("_position")
     place = (F.col("_start") + F.pmod(spread, F.col("_rows"))) / F.col("_total")
-    file = F.least(F.floor(place * files), F.lit(files - 1))
     return (
-        with_z(df.withColumn("_position", F.monotonically_increasing_id()))
-        .join(cells, F.col("_z") == F.col("_cell"), "left")
-        .withColumn("_file", F.coalesce(file, F.pmod(spread, F.lit(files))).cast("int"))
+        df.withColumn("_position", F.monotonically_increasing_id())
+        .withColumn("_z", z)
+        .join(F.broadcast(cells), F.col("_z") == F.col("_cell"))
+        .withColumn("_file", F.least(F.floor(place * files), F.lit(files - 1)).cast("int"))
         .repartitionById(files, "_file")
         .sortWithinPartitions("_z")
         .select(*original)
     )
 
 
-def write_clustered(df: DataFrame, table: str, columns: list[str], files: int | None = None) -> None:
+def write_clustered(
+    df: DataFrame,
+    table: str,
+    columns: list[str],
+    files: int | None = None,
+    partition_by: list[str] | None = None,
+) -> None:
     """Store the rows as a managed table with clustered files."""
-    z_ordered(df, columns, files).write.mode("overwrite").format("parquet").saveAsTable(table)
+    writer = z_ordered(df, columns, files).write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
 
 
 def recluster(spark: SparkSession, table: str, columns: list[str], files: int | None = None) -> None:
     """Rewrite a stored table clustered; its rows and schema stay the same.
 
-    The new files are written beside the table and take its name once they are
-    complete, so a job that fails leaves the table untouched.
+    The new files are written beside the table; then the old table becomes
+    ``<table>_before``, the new one takes the name, and the old one is dropped.  A failure
+    while writing leaves the table as it was and ``<table>_clustered`` to be dropped.  After one
+    between the two renames, ``ALTER TABLE <table>_before RENAME TO <table>`` brings the
+    table back.  Left-over tables of a failed run are never overwritten.
     """
-    staged = f"{table}_clustered"
+    staged, old = f"{table}_clustered", f"{table}_before"
+    for name in (staged, old):
+        if spark.catalog.tableExists(name):
+            raise ValueError(f"{name} is left over from a failed run; rename or drop it first")
     write_clustered(spark.table(table), staged, columns, files)
-    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")

@@ -32,6 +32,11 @@ def flights(raw: DataFrame) -> DataFrame:
     ).where(complete)
 
 
+def with_month(silver_flights: DataFrame) -> DataFrame:
+    """Adds the month of the flight date, to partition stored flights by."""
+    return silver_flights.withColumn("flight_month", F.substring("flight_date", 1, 7))
+
+
 def customers(raw: DataFrame) -> DataFrame:
     """Keep every customer that has an id; nothing is de-duplicated or masked."""
     return raw.where(F.col("customer_id").isNotNull()).withColumn(

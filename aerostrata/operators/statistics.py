@@ -70,6 +70,8 @@ def top_countries(customers: DataFrame, k: int = 10) -> DataFrame:
 
 
 def delay_by_airline(flights: DataFrame) -> DataFrame:
-    return flights.groupBy("airline_code").agg(
+    """Mean arrival delay per airline, the largest first."""
+    delays = flights.groupBy("airline_code").agg(
         F.avg("arr_delay").alias("avg_delay"), F.count("*").alias("flight_count")
     )
+    return delays.orderBy(F.desc_nulls_last("avg_delay"), "airline_code")

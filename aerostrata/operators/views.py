@@ -56,14 +56,11 @@ def customer_segment_detail(stats: DataFrame) -> DataFrame:
 
 
 def airline_route_view_sql(layers: Layers) -> str:
-    """Text of the persistent view; flights are de-duplicated before the joins."""
+    """Text of the persistent view, over the marts and the stored leg roll-up."""
     return f"""
-        WITH served AS (
-            SELECT DISTINCT airline_code, origin_airport, dest_airport FROM {layers.flights_silver}
-        )
         SELECT served.airline_code, route.route, route.total_flights, route.avg_arr_delay,
                route.delayed_rate_pct, own.avg_arr_delay AS airline_avg_delay
-        FROM served
+        FROM {layers.flight_legs} served
         JOIN {layers.route_performance} route USING (origin_airport, dest_airport)
         JOIN {layers.flight_delay_kpi} own USING (airline_code)
     """

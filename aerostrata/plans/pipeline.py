@@ -9,37 +9,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from aerostrata.operators import gold, governance, layout, silver, views
-from aerostrata.schemas import Layers
-from aerostrata.sources import catalog
+from aerostrata.schemas import CUSTOMER_RAW, FLIGHTS_RAW, Layers
+from aerostrata.sources import bronze, catalog
 
 
 def load_bronze(flights: DataFrame, customers: DataFrame, layers: Layers) -> None:
-    catalog.replace_table(flights, layers.flights_raw)
-    catalog.replace_table(customers, layers.customer_raw)
-
+    """Both tables with exactly their declared columns and types."""
+    catalog.replace_table(bronze.enforce(flights, FLIGHTS_RAW), layers.flights_raw)
+    catalog.replace_table(bronze.enforce(customers, CUSTOMER_RAW), layers.customer_raw)
+
+
+def build_silver(
+    spark: SparkSession,
+    layers: Layers,
+    clustered: bool = True,
+    flight_files: int | None = None,
+    customer_files: int | None = None,
+    monthly: bool = False,
+) -> None:
+    """Clean both tables and store them clustered.
 
-def build_silver(spark: SparkSession, layers: Layers, clustered_files: int | None = None) -> None:
-    """Clean both tables; with a file count they are stored clustered right away."""
+    File counts follow from the row counts unless they are given.  ``monthly`` also
+    gives each month of flights a folder of its own, in the extra column ``flight_month``.
+    """
     flights = silver.flights(spark.table(layers.flights_raw))
     customers = silver.customers(spark.table(layers.customer_raw))
-    if clustered_files:
+    by = ["flight_month"] if monthly else None
+    if monthly:
+        flights = silver.with_month(flights)
+    if clustered:
         layout.write_clustered(
-            flights, layers.flights_silver, layout.FLIGHT_CLUSTERING, clustered_files
+            flights, layers.flights_silver, layout.FLIGHT_CLUSTERING, flight_files, by
         )
         layout.write_clustered(
-            customers, layers.customer_silver, layout.CUSTOMER_CLUSTERING, clustered_files
+            customers, layers.customer_silver, layout.CUSTOMER_CLUSTERING, customer_files
         )
     else:
-        catalog.replace_table(flights, layers.flights_silver)
+        catalog.replace_table(flights, layers.flights_silver, by)
         catalog.replace_table(customers, layers.customer_silver)
 
 
 def build_gold(spark: SparkSession, layers: Layers) -> None:
+    """The marts; the leg roll-up is stored for the routes and the view over them."""
     flights, customers = spark.table(layers.flights_silver), spark.table(layers.customer_silver)
     catalog.replace_table(gold.flight_delay_kpi(flights), layers.flight_delay_kpi)
-    catalog.replace_table(
-        gold.route_performance(gold.leg_rollup(flights)), layers.route_performance
-    )
+    legs = catalog.replace_table(gold.leg_rollup(flights), layers.flight_legs)
+    catalog.replace_table(gold.route_performance(legs), layers.route_performance)
     catalog.replace_table(gold.customer_segment_stats(customers), layers.customer_segment_stats)
 
 
@@ -58,14 +73,15 @@ def publish_views(spark: SparkSession, layers: Layers) -> None:
     catalog.replace_view(spark, layers.customer_masked_view, views.masked_view_sql(layers))
 
 
-def run(
-    flights: DataFrame, customers: DataFrame, layers: Layers, clustered_files: int | None = None
-) -> None:
-    """Build every table and view of an environment from two Bronze frames."""
+def run(flights: DataFrame, customers: DataFrame, layers: Layers, **silver_options) -> None:
+    """Build every table and view of an environment from two Bronze frames.
+
+    ``silver_options`` are those of ``build_silver``.
+    """
     spark = flights.sparkSession
     catalog.create_databases(spark, layers)
     load_bronze(flights, customers, layers)
-    build_silver(spark, layers, clustered_files)
+    build_silver(spark, layers, **silver_options)
     build_gold(spark, layers)
     detect_personal_data(spark, layers)
     publish_views(spark, layers)

@@ -20,6 +20,7 @@ from aerostrata.operators import (
     views,
 )
 from aerostrata.plans import pipeline
+from aerostrata.schemas import Layers
 from aerostrata.sources import bronze, catalog, derived, synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,10 +110,39 @@ def _stored_detection(i: Inputs) -> DataFrame:
     return stored.agg(F.count("*").alias("record_count"))
 
 
-def _layer_row_counts(i: Inputs) -> DataFrame:
+def _stored_environment(i: Inputs) -> Layers:
     layers = catalog.scratch_layers(i.spark)
     pipeline.run(i.flights_raw, i.customer_raw, layers)
-    return quality.layer_row_counts(i.spark, layers)
+    return layers
+
+
+def _stored_view(name: str) -> Callable[[Inputs], DataFrame]:
+    """A persistent view, read back from a stored environment."""
+
+    def query(i: Inputs) -> DataFrame:
+        return i.spark.table(getattr(_stored_environment(i), name))
+
+    return query
+
+
+def _stored(i: Inputs, df: DataFrame, name: str) -> DataFrame:
+    return catalog.replace_table(df, f"{catalog.scratch_layers(i.spark).silver}.{name}")
+
+
+def _clustered_table(i: Inputs) -> DataFrame:
+    """Flights as read back from a table with clustered files."""
+    layers = catalog.scratch_layers(i.spark)
+    pipeline.load_bronze(i.flights_raw, i.customer_raw, layers)
+    pipeline.build_silver(i.spark, layers)
+    return i.spark.table(layers.flights_silver)
+
+
+def _months_of_flights(i: Inputs) -> DataFrame:
+    """Half a year of flights from a table with a folder per month."""
+    layers = catalog.scratch_layers(i.spark)
+    rows = silver.with_month(i.flights)
+    stored = catalog.replace_table(rows, layers.flights_silver, partition_by=["flight_month"])
+    return stored.where(F.col("flight_month").between("1995-03", "1995-08"))
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -123,7 +153,11 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "synth_customers": _synthetic_customers,
     "table_overwrite_roundtrip": _overwritten_table,
     "zorder_flights": lambda i: layout.z_ordered(i.flights, layout.FLIGHT_CLUSTERING),
-    "zorder_customers": lambda i: layout.z_ordered(i.customers, layout.CUSTOMER_CLUSTERING),
+    "zorder_customers": lambda i: layout.z_ordered(
+        _stored(i, i.customers, "customers"), layout.CUSTOMER_CLUSTERING
+    ),
+    "clustered_flights": _clustered_table,
+    "silver_flights_by_month": _months_of_flights,
     "preview_flights": lambda i: _preview(i.flights, 5),
     "preview_customers": lambda i: _preview(i.customers.select(*silver.CUSTOMER_PREVIEW), 5),
     # silver
@@ -134,7 +168,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_bronze_customers": lambda i: quality.bronze_customers(i.customer_raw),
     "dq_silver_flights": lambda i: quality.silver_flights(i.flights),
     "dq_silver_customers": lambda i: quality.silver_customers(i.customers),
-    "layer_row_counts": _layer_row_counts,
+    "layer_row_counts": lambda i: quality.layer_row_counts(i.spark, _stored_environment(i)),
     # silver statistics
     "stats_flights": lambda i: statistics.flight_metrics(i.legs),
     "stats_customers": lambda i: statistics.customer_metrics(i.customers),
@@ -154,6 +188,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "top_delayed_airlines": lambda i: views.top_delayed_airlines(i.kpi),
     "top_routes_preview": lambda i: views.top_routes(i.routes),
     "top_segments_preview": lambda i: views.top_segments(i.stats),
+    "view_airline_route_analysis": _stored_view("airline_route_analysis"),
+    "view_segment_detail": _stored_view("customer_segment_detail"),
+    "view_customer_masked": _stored_view("customer_masked_view"),
     # personal data
     "pii_rule_types": lambda i: i.rule_types,
     "pii_rule_counts": lambda i: governance.rule_counts(i.rule_types),
@@ -198,5 +235,14 @@ def _registered(build: Callable[[Inputs], DataFrame]) -> Query:
     return query
 
 
+#: Queries that write tables, and those that measure their input before they lay it out.
+STORING = {
+    "table_overwrite_roundtrip", "pii_result_roundtrip", "layer_row_counts", "clustered_flights",
+    "silver_flights_by_month", "view_airline_route_analysis", "view_segment_detail",
+    "view_customer_masked",
+}
+MEASURING = {"zorder_flights", "zorder_customers"}
+
+
 def queries() -> dict[str, Query]:
     return {name: _registered(build) for name, build in QUERIES.items()}

@@ -36,11 +36,11 @@ CUSTOMER_RAW = _nullable(
 )
 
 # The coded domains of the two Bronze tables.
-AIRLINES = "AA DL UA WN B6 AS NK F9".split()
-AIRPORTS = (
-    "ATL DFW DEN ORD LAX CLT LAS PHX MCO SEA EWR SFO "
-    "DTW BOS MSP FLL JFK LGA BWI DCA IAH SLC MDW SAN"
-).split()
+AIRLINES = ["AA", "DL", "UA", "WN", "B6", "AS", "NK", "F9"]
+AIRPORTS = [
+    "ATL", "DFW", "DEN", "ORD", "LAX", "CLT", "LAS", "PHX", "MCO", "SEA", "EWR", "SFO",
+    "DTW", "BOS", "MSP", "FLL", "JFK", "LGA", "BWI", "DCA", "IAH", "SLC", "MDW", "SAN",
+]
 SEGMENTS = ["Economy", "Premium Economy", "Business", "First Class"]
 PREMIUM_SEGMENTS = ["Business", "First Class"]
 COUNTRIES = [
@@ -49,10 +49,11 @@ COUNTRIES = [
 ]
 
 # Made-up names for derived and synthetic customers.
-FIRST_NAMES = "Ada Ben Cleo Dan Eve Finn Gia Hugo Ida Jon Kay Leo".split()
-LAST_NAMES = (
-    "Ash Birch Cedar Elm Fir Hazel Holly Ivy Juniper Larch Maple Oak Pine"
-).split()
+FIRST_NAMES = ["Ada", "Ben", "Cleo", "Dan", "Eve", "Finn", "Gia", "Hugo", "Ida", "Jon", "Kay", "Leo"]
+LAST_NAMES = [
+    "Ash", "Birch", "Cedar", "Elm", "Fir", "Hazel", "Holly", "Ivy", "Juniper", "Larch", "Maple",
+    "Oak", "Pine",
+]
 
 
 @dataclass(frozen=True)
@@ -113,6 +114,10 @@ class Layers:
     def pii_detection_result(self) -> str:
         return f"{self.meta}.pii_detection_result"
 
+    @property
+    def flight_legs(self) -> str:
+        return f"{self.mart}.flight_legs"
+
     @property
     def airline_route_analysis(self) -> str:
         return f"{self.mart}.airline_route_analysis"
@@ -126,7 +131,7 @@ class Layers:
         return f"{self.silver}.customer_masked_view"
 
     def by_layer(self) -> list[tuple[str, str]]:
-        """(layer label, table) for the eight stored tables."""
+        """(layer label, table) for the eight reported tables (the leg roll-up is an aid of the marts)."""
         return [
             ("Bronze/Raw", self.flights_raw),
             ("Bronze/Raw", self.customer_raw),

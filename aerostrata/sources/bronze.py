@@ -17,5 +17,13 @@ def enforce(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A parquet scan limited to the declared columns; nothing is inferred."""
+    """A parquet scan limited to the declared columns, with their declared types.
+
+    The names are compared with the stored ones first (from the file footers), as a
+    column that is not there would otherwise come out as NULL.
+    """
+    stored = set(spark.read.parquet(path).columns)
+    missing = [f.name for f in schema.fields if f.name not in stored]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
     return spark.read.schema(schema).parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,9 +31,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_layers(spark: SparkSession) -> Layers:
-    """Layer databases of this application inside the shared folder."""
-    run = spark.sparkContext.applicationId.replace("-", "_").lower()
-    layers = Layers(env=f"scratch_{run}")
+    """New layer databases inside the shared folder, for one call only.
+
+    They stay until ``drop_databases`` is called, as frames read from them later.
+    """
+    layers = Layers(env=f"scratch_{uuid.uuid4().hex}")
     create_databases(spark, layers, f"{shared_folder(spark)}/{layers.env}")
     return layers
 
@@ -48,9 +51,21 @@ def create_databases(spark: SparkSession, layers: Layers, location: str | None =
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def replace_table(df: DataFrame, table: str) -> DataFrame:
-    """Create or replace a managed table, also with another schema; read it back."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+def drop_databases(spark: SparkSession, layers: Layers) -> None:
+    """Drop the layer databases with all their tables and views."""
+    for name in layers.databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def replace_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Create or replace a managed table, also with another schema; read it back.
+
+    ``partition_by`` gives the values of these columns folders of their own.
+    """
+    writer = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
     return df.sparkSession.table(table)
 
 

@@ -14,19 +14,25 @@ from aerostrata.sources.bronze import enforce
 from aerostrata.sources.derived import LOADED_AT, pick, zero_padded
 
 _PRIME = 2147483647
+_PART = (1 << 21) - 1
 DAYS = 90
 FIRST_DAY = "2024-01-01"
 
 
 def draw(stream: int, size: int) -> str:
-    """SQL for a number in ``0..size-1`` from a row's ``id``; streams are unrelated.
+    """SQL for a number in ``0..size-1`` from a row's ``id``.
 
-    Rounds of multiply-modulo with exclusive-or shifts between them; no product
+    All 63 bits of the id count: three parts of 21 bits enter one after the other,
+    each followed by a multiplication modulo a prime and an exclusive-or shift.  Every stream
+    has its own start and factors, so no stream is another one shifted.  No product
     leaves 64 bits.
     """
-    x = f"((id % {_PRIME} + {stream * 1000003}) % {_PRIME} * 48271 % {_PRIME})"
-    x = f"(({x} ^ shiftright({x}, 15)) % {_PRIME} * 69621 % {_PRIME})"
-    x = f"(({x} ^ shiftright({x}, 13)) % {_PRIME} * 48271 % {_PRIME})"
+    start, first, second, third = (
+        pow(base, 3 * stream + 7, _PRIME) for base in (40692, 48271, 69621, 16807)
+    )
+    x = f"(((id & {_PART}) + {start}) * {first} % {_PRIME})"
+    x = f"((({x} ^ shiftright({x}, 15)) + (shiftright(id, 21) & {_PART})) * {second} % {_PRIME})"
+    x = f"((({x} ^ shiftright({x}, 13)) + (shiftright(id, 42) & {_PART})) * {third} % {_PRIME})"
     return f"({x} % {size})"
 
 

@@ -4,11 +4,12 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostrata.operators import gold, governance, layout, quality, silver, views
-from aerostrata.plans import pipeline
-from aerostrata.schemas import Layers
-from aerostrata.sources import catalog, derived
+from aerostrata.plans import pipeline, registry
+from aerostrata.schemas import FLIGHTS_RAW, Layers
+from aerostrata.sources import bronze, catalog, derived
 from tests.conftest import DATA, SMALL
 from tests.test_gold_insights import same
 
@@ -19,7 +20,11 @@ def built(spark, tmp_path_factory):
     layers = Layers(env="built")
     catalog.create_databases(spark, layers, str(tmp_path_factory.mktemp("built")))
     pipeline.run(
-        derived.flights_raw(spark, SMALL), derived.customer_raw(spark, SMALL), layers, clustered_files=4
+        derived.flights_raw(spark, SMALL),
+        derived.customer_raw(spark, SMALL),
+        layers,
+        flight_files=4,
+        customer_files=2,
     )
     return layers
 
@@ -165,16 +170,93 @@ def test_clustering_splits_a_frequent_value(spark):
     assert same(laid_out.groupBy("country", "segment").count(), rows.groupBy("country", "segment").count())
 
 
-def test_large_code_tables_are_not_broadcast(spark, monkeypatch):
-    rows = spark.range(5000).select("id", (F.col("id") % 40).cast("string").alias("a"), F.col("id").cast("string").alias("b"))
-    broadcast = layout.z_ordered(rows, ["a", "b"], files=4)
-    monkeypatch.setattr(layout, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(layout, "BROADCAST_CELLS", 0)
-    shuffled = layout.z_ordered(rows, ["a", "b"], files=4)
-    hints = [df._jdf.queryExecution().analyzed().toString().count("strategy=broadcast") for df in (broadcast, shuffled)]
-    assert hints[0] >= 3 and hints[1] == 0
-    assert same(broadcast, rows) and same(shuffled, rows)
-    assert not layout._table_bytes(rows, ["a", "b"])["b"] < 5000 * 60
+@pytest.mark.parametrize("bits", [None, 3])
+def test_clustering_by_three_columns_with_many_values(spark, tmp_path, bits):
+    rows = spark.range(20_000).select(
+        "id", (F.col("id") % 40).cast("string").alias("a"), F.col("id").cast("string").alias("b"),
+        (F.col("id") * 7919 % 20_000).alias("c"),
+    )
+    rows.write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    laid_out = layout.z_ordered(stored, ["a", "b", "c"], files=8, bits=bits)
+    assert laid_out.rdd.getNumPartitions() == 8 and same(laid_out, rows)
+    laid_out.write.parquet(f"{tmp_path}/z")
+    assert hit_files(spark, f"{tmp_path}/z", "b") < 7 and hit_files(spark, f"{tmp_path}/z", "c") < 7
+
+
+def test_too_many_cells_are_refused(spark):
+    with pytest.raises(ValueError, match="cells"):
+        layout.z_ordered(spark.range(3), ["id"], bits=21)
+
+
+def test_bounds_cut_values_into_even_ranges(spark):
+    many = spark.range(1000).select((F.col("id") * 3).alias("v"))
+    bounds = layout._bounds(many, "v", 4)
+    assert 8 <= len(bounds) <= 16 and bounds == sorted(bounds) and bounds[0] == 0
+    codes = {r[0]: r[1] for r in many.select("v", layout._code("v", bounds, 4)).collect()}
+    assert [codes[v] for v in sorted(codes)] == sorted(codes.values()) and max(codes.values()) >= 14
+    assert layout._bounds(many.limit(5), "v", 4) == sorted(r[0] for r in many.limit(5).collect())
+
+
+def test_clustering_reads_its_input_twice_and_shuffles_rows_once(spark, tmp_path):
+    flights = silver.flights(derived.flights_raw(spark, SMALL)).drop("transformation_timestamp")
+    flights.write.parquet(f"{tmp_path}/flights")
+    stored = spark.read.parquet(f"{tmp_path}/flights")
+    laid_out = layout.z_ordered(stored, layout.FLIGHT_CLUSTERING, files=4)
+    plan = laid_out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # the rows, and the stored tuples of the other pass
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_a_failed_recluster_keeps_its_tables(spark, scratch):
+    catalog.replace_table(spark.range(5), scratch.flights_raw)
+    catalog.replace_table(spark.range(1), f"{scratch.flights_raw}_before")
+    with pytest.raises(ValueError, match="left over"):
+        layout.recluster(spark, scratch.flights_raw, ["id"])
+    assert spark.table(scratch.flights_raw).count() == 5
+
+
+def test_bronze_is_enforced(spark, scratch, make_flights, make_customers):
+    flights = make_flights({}).withColumn("distance", F.lit("500")).withColumn("extra", F.lit(1))
+    pipeline.load_bronze(flights, make_customers({}), scratch)
+    assert spark.table(scratch.flights_raw).schema == FLIGHTS_RAW
+    with pytest.raises(Exception, match="distance"):
+        pipeline.load_bronze(make_flights({}).drop("distance"), make_customers({}), scratch)
+    wrong = make_flights({}).withColumn("distance", F.lit("far"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        pipeline.load_bronze(wrong, make_customers({}), scratch)
+
+
+def test_reading_a_missing_column_fails(spark):
+    schema = T.StructType.fromDDL("c_custkey bigint, no_such string")
+    with pytest.raises(ValueError, match="no_such"):
+        bronze.read_table(spark, f"{SMALL}/customer.parquet", schema)
+    surplus = bronze.read_table(spark, f"{SMALL}/customer.parquet", T.StructType.fromDDL("c_custkey bigint"))
+    assert surplus.columns == ["c_custkey"]
+
+
+def test_scratch_tables_of_calls_are_apart(spark):
+    """A frame of an earlier call still reads its own rows after a later one."""
+    query = registry.queries()["table_overwrite_roundtrip"]
+    first = query(spark, SMALL)
+    second = query(spark, DATA)
+    assert first.count() == 6000 < second.count()
+    layers = catalog.scratch_layers(spark)
+    catalog.replace_table(spark.range(2), layers.flights_raw)
+    catalog.drop_databases(spark, layers)
+    assert not spark.catalog.databaseExists(layers.raw)
+
+
+def test_a_month_range_reads_its_folders_only(spark):
+    found = registry.queries()["silver_flights_by_month"](spark, SMALL)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "flight_month" in filters
+
+
+def test_the_route_view_does_not_read_flights(spark, built):
+    plan = spark.table(built.airline_route_analysis)._jdf.queryExecution().executedPlan().toString()
+    assert "flight_legs" in plan and "flights_silver" not in plan
 
 
 def test_clustered_files_are_even(spark):

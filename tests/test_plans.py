@@ -6,14 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from aerostrata.plans import registry
 from aerostrata.operators import gold, governance, insights, silver, views
 from tests.conftest import SMALL
 
-LAZY = [
-    n
-    for n in entry.queries()
-    if n not in {"table_overwrite_roundtrip", "pii_result_roundtrip", "layer_row_counts"}
-]
+LAZY = [n for n in registry.queries() if n not in registry.STORING]
 
 
 def physical(df) -> str:

@@ -158,3 +158,34 @@ def test_synthetic_customers_pass_every_rule(spark):
 def test_long_ids_keep_their_digits(spark):
     made = synthetic.customers(spark.range(9_999_998, 10_000_001))
     assert [r.customer_id for r in made.collect()] == ["CUST9999999", "CUST10000000", "CUST10000001"]
+
+
+def test_synthetic_rows_have_no_period(spark):
+    """Ids that differ by 2**31 - 1, 2**31 or 2**42 give other rows."""
+    rows = lambda start: [tuple(r) for r in synthetic.flights(spark.range(start, start + 300)).collect()]
+    first = rows(0)
+    for start in (2**31 - 1, 2**31, 2**21, 2**42, 2**62):
+        assert sum(a == b for a, b in zip(first, rows(start), strict=True)) == 0
+
+
+@pytest.mark.parametrize("start", [0, 2**62])
+def test_synthetic_values_are_spread_evenly(spark, start):
+    made = synthetic.flights(spark.range(start, start + 48_000))
+    late = made.where("arr_delay > 15").count()
+    assert 0.23 * 48_000 < late < 0.26 * 48_000
+    for column, values in (("origin", 24), ("dest", 24), ("airline", 8), ("flight_date", 90)):
+        counts = [r["count"] for r in made.groupBy(column).count().collect()]
+        mean = 48_000 / values
+        assert len(counts) == values and max(counts) < 1.25 * mean and min(counts) > 0.75 * mean
+    assert made.where("origin = dest").count() == 0
+
+
+def test_streams_are_not_shifts_of_each_other(spark):
+    draws = [f"{synthetic.draw(stream, 1000)} AS s{stream}" for stream in range(1, 20)]
+    rows = spark.range(3000).selectExpr(*draws).toPandas()
+    for a in range(1, 20):
+        for b in range(a + 1, 20):
+            for shift in (0, 1, 7, 48):
+                left = rows[f"s{a}"].to_numpy()[shift:]
+                right = rows[f"s{b}"].to_numpy()[: len(left)]
+                assert (left == right).mean() < 0.02

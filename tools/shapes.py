@@ -4,8 +4,7 @@ With a row count, that many synthetic flights and a tenth as many customers
 are used instead of the tables of the folder.
 
 The plain shapes give the same rows in the most direct way: joining single
-flights to the marts, one scan per metric, a Python function per value, a
-percentile over raw rows.
+flights to the marts, one scan per metric, a percentile over raw rows.
 """
 
 from __future__ import annotations
@@ -22,7 +21,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from aerostrata.operators import (  # noqa: E402
     gold,
-    governance,
     insights,
     quality,
     silver,
@@ -32,7 +30,6 @@ from aerostrata.operators import (  # noqa: E402
 from aerostrata.plans.registry import Inputs  # noqa: E402
 from aerostrata.sources import synthetic  # noqa: E402
 from bench import consume, session, timed  # noqa: E402
-from tests.test_personal_data import expected_kind  # noqa: E402
 
 
 def plain_kpi(flights):
@@ -81,11 +78,6 @@ def plain_flight_metrics(flights):
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
-def plain_classifier(customers):
-    kind = F.udf(expected_kind, "string")
-    return customers.select(*[kind(c) for c in ("full_name", "email", "phone", "passport_no")])
-
-
 def main(data_dir: str, rows: int | None = None) -> None:
     spark = session("8")
     inputs, store = Inputs(spark, data_dir), tempfile.mkdtemp(prefix="shapes-")
@@ -116,12 +108,6 @@ def main(data_dir: str, rows: int | None = None) -> None:
             lambda: plain_flight_metrics(flights),
             lambda: statistics.flight_metrics(gold.leg_rollup(flights)),
         ),
-        "content classifier": (
-            lambda: plain_classifier(customers),
-            lambda: governance.content_types(
-                customers.select("full_name", "email", "phone", "passport_no")
-            ),
-        ),
         "customer audit": (
             lambda: customers.where("email is null").groupBy().count()
             .union(customers.where("phone is null").groupBy().count())
