@@ -51,7 +51,7 @@ SHAPES: list[tuple[str, str]] = [
     ),
     (
         "secret",
-        r"(?<=(?i:token|key|secret|password)[\"']? {0,3}[=:] {0,3}[\"']?)[0-9A-Fa-f]{16,}+(?![0-9A-Za-z])",
+        r"(?i:token|key|secret|password)[\"']? {0,3}[=:] {0,3}[\"']?[0-9A-Fa-f]{16,}+(?![0-9A-Za-z])",
     ),
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){9,30}+(?![0-9A-Za-z])"),
     ("ip", r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"),
@@ -259,7 +259,9 @@ def _email(hit: Column, key: str) -> Column:
 
 
 def _secret(hit: Column, key: str) -> Column:
-    return _permute_characters(hit, key, "secret", letters=6)
+    value = F.regexp_extract(hit, "[0-9A-Fa-f]+$", 0)
+    name = F.substring(hit, F.lit(1), F.length(hit) - F.length(value))
+    return F.concat(name, _permute_characters(value, key, "secret", letters=6))
 
 
 _RULES = {
@@ -275,17 +277,17 @@ _RULES = {
 
 
 def _kind(hit: Column) -> Column:
-    """The kind of a hit, from its own characters (a hit has no context)."""
+    """The kind of a hit, from its own characters (that of a secret has its name)."""
     full = lambda pattern: hit.rlike(f"^(?:{pattern})$")
     return (
         F.when(hit.contains("@"), "email")
+        .when(full("(?i:token|key|secret|password).*[=:].*"), "secret")
         .when(full(r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"), "ip")
         .when(full(r"[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}"), "date")
         .when(full(r"[0-9]{3}-[0-9]{2}-[0-9]{4}"), "ssn")
         .when(full(r"\+.*|\(.*|[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}"), "phone")
-        .when(full(r"[A-Z]{2}[0-9]{2}[A-Z0-9 ]*") & ~full("[0-9A-F]{16,}"), "iban")
-        .when(full("[0-9](?:[ -]?[0-9]){12,18}"), "card")
-        .otherwise("secret")
+        .when(full(r"[A-Z]{2}[0-9]{2}[A-Z0-9 ]*"), "iban")
+        .otherwise("card")
     )
 
 
