@@ -86,20 +86,22 @@ def fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
     return map_arrow(docs.select("doc_id", "text_hash", "text"), select, _FOUND)
 
 
-def repeated_lines(found: DataFrame) -> DataFrame:
+def repeated_lines(found: DataFrame, folder: str) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``lines``: the numbers of the lines to delete.
 
-    ``found`` is a stored table of fingerprints.
+    ``found`` is a stored table of fingerprints.  What is folded by fingerprint or content is
+    stored before it is joined: only then can Spark split the rows of a frequent one.
     """
     shared = found.groupBy("fingerprint").agg(F.sum(F.size("windows")).alias("n")).where("n > 1")
+    shared = stored(shared.select("fingerprint"), f"{folder}/shared")
     windows = (
-        found.join(shared.select("fingerprint"), "fingerprint")
+        found.join(shared, "fingerprint")
         .select("doc_id", "text_hash", F.explode("windows").alias("w"))
         .select("doc_id", "text_hash", "w.*")
     )
     place = F.struct("doc_id", "text_hash", "first")
     seen = windows.groupBy("key").agg(F.min(place).alias("earliest"), F.max(place).alias("latest"))
-    seen = seen.where("earliest < latest").select("key", "earliest")
+    seen = stored(seen.where("earliest < latest").select("key", "earliest"), f"{folder}/seen")
     later = windows.join(seen, "key").where(F.col("earliest") < place)
     lines = F.array_distinct(F.flatten(F.collect_list(F.sequence("first", "last"))))
     return later.groupBy("doc_id", "text_hash").agg(lines.alias("lines"))
@@ -126,8 +128,8 @@ def deduplicated(
         F.xxhash64(text).alias("text_hash"),
         text.alias("text"),
     )
-    found = stored(fingerprints(keyed, min_words), folder)
-    delete = repeated_lines(found).withColumnsRenamed({"doc_id": "d_id", "text_hash": "d_hash"})
+    found = stored(fingerprints(keyed, min_words), f"{folder}/fingerprints")
+    delete = repeated_lines(found, folder).withColumnsRenamed({"doc_id": "d_id", "text_hash": "d_hash"})
     same = F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("text_hash") == F.col("d_hash"))
     df = keyed.join(delete, same, "left").withColumn("all_lines", F.split("text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("all_lines") - 1), F.col("lines"))
