@@ -7,8 +7,8 @@ The model has no normalization and no white-space rules; texts are split by the
 first and every match is encoded on its own, a match that is an entry itself at once.
 Decoding maps ids back to their byte strings.
 
-Defined cases: a null text is empty; ids are null where the document id is; repeated rows
-stay; an empty table gives no rows; other columns are left out.
+Defined cases: a null text is empty; document ids may be null or repeat, every row keeps its own;
+repeated rows stay; an empty table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostrata.llm.components import components
 from aerostrata.llm.staging import map_arrow, stored, unused
@@ -69,8 +70,8 @@ def with_fingerprint(
 
     kept = docs.schema
     given = unused(docs, "_text")
-    types = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{out}` bigint"])
-    return map_arrow(docs.select(F.col(text_col).cast("string").alias(given), "*"), add, types)
+    schema = T.StructType([*kept.fields, T.StructField(out, T.LongType())])
+    return map_arrow(docs.select(F.col(text_col).cast("string").alias(given), "*"), add, schema)
 
 
 def masks(radius: int) -> list[int]:

@@ -14,6 +14,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from aerostrata.sources.catalog import shared_folder
 
@@ -29,7 +30,7 @@ def stored(df: DataFrame, folder: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, function, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` whose workers find this package where the driver found it.
 
     Executors that have it installed elsewhere are not affected.
