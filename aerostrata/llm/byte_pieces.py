@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostrata.llm.staging import binary_column, map_arrow, ragged, slices
-from aerostrata.llm.word_memory import BYTE_LETTERS, PIECES_KEPT, PieceMemory, cut_byte_level, text_groups
+from aerostrata.llm.word_memory import BYTE_LETTERS, PieceMemory, cut_byte_level, text_groups
 
 _NORMAL, _UNKNOWN, _BPE = 1, 2, 2
+#: Words kept beside the pieces; a list of ids is far larger than its text.
+WORDS_KEPT = 100_000
 
 
 def _varint(n: int) -> bytes:
@@ -88,7 +90,7 @@ class ByteEncoder:
         self.known: dict[str, list[int]] = {}
 
     def __call__(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > PIECES_KEPT:
+        if len(self.known) > WORDS_KEPT:
             self.known.clear()
         known = self.known
         split = [self.matches(piece) for piece in pieces]
