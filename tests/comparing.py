@@ -13,6 +13,7 @@ TYPES = {
     "INT": "INTEGER",
     "BIGINT": "BIGINT",
     "DOUBLE": "DOUBLE",
+    "BOOLEAN": "BOOLEAN",
 }
 
 
