@@ -114,7 +114,7 @@ class ByteEncoder:
 
 @functools.lru_cache(maxsize=2)
 def _memory(path: str, pattern: str) -> PieceMemory:
-    return PieceMemory(cut_byte_level, ByteEncoder(read_ranks(path), pattern))
+    return PieceMemory(cut_byte_level, ByteEncoder(read_ranks(path), pattern), kept=400_000)
 
 
 @functools.lru_cache(maxsize=2)

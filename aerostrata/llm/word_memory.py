@@ -14,13 +14,16 @@ import json
 import os
 import re
 from collections.abc import Callable
+from operator import itemgetter
 
 import numpy as np
 import regex
 
 from aerostrata.llm.staging import ragged, slices
 
-PIECES_KEPT = 500_000
+PIECES_KEPT = 700_000
+#: Words kept beside the pieces of new texts; a list of ids is far larger than its text.
+WORDS_KEPT = 200_000
 CHARACTERS_AT_ONCE = 500_000
 
 # The split of byte-level BPE, and the letter that stands for each byte.
@@ -101,7 +104,9 @@ class PieceMemory:
         if len(self._known) > self.kept:
             self._forget()
         known = self._known
-        codes = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        # one call for all pieces; the getter of a single key gives no tuple
+        found = itemgetter(*pieces)(known) if len(pieces) > 1 else [known[p] for p in pieces]
+        codes = np.array(found, np.int64)
         if known.new:
             new, known.new = known.new, []
             self._learn(new)
@@ -172,7 +177,7 @@ class LibraryEncoder:
     def __call__(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.normalizer is not None:
             pieces = [p.lower() if p.isascii() else self.normalizer.normalize_str(p) for p in pieces]
-        if len(self.known) > PIECES_KEPT:
+        if len(self.known) > WORDS_KEPT:
             self.known.clear()
         ids: list[int] = []
         counts = np.empty(len(pieces), np.int64)
@@ -190,7 +195,11 @@ class LibraryEncoder:
         return np.array(ids, np.uint32), counts
 
     def _encode_word(self, word: str) -> list[int]:
-        shown = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        bare = word[1:] if word[0] == " " else word
+        if bare.isalpha() and bare.isascii():  # letters that stand for themselves
+            shown = bare if bare is word else BYTE_LETTERS[32] + bare
+        else:
+            shown = word.encode().decode("latin-1").translate(BYTE_LETTERS)
         return [token.id for token in self.model.tokenize(shown)]
 
 
