@@ -9,11 +9,15 @@ window's lines only, two copies of a run always share a selected fingerprint.
 2. Fingerprints are counted; only windows at a fingerprint that stands at two places
    or more go on.
 3. These are joined by content to their first place in the corpus.  Every later one
-   is deleted.  Windows of neighbouring lines overlap, so a match is extended in both
-   directions for as long as the lines have been seen anywhere before.
+   is deleted.  Windows of neighbouring lines overlap, so they reach from the first line
+   of a repeated run to the last line at which one of its windows ends.
+4. What is left of a run is shorter than a window.  So every window carries the lines
+   that follow it before the next line's window ends, as hashes of the stretch up to
+   each of them; repeated windows are joined by these, too.
 
-A line is deleted exactly if it lies in a window whose lines stand, in that order,
-at an earlier place: in a document with a smaller id, or earlier in the same one.
+A line is deleted exactly if it lies in a run of ``min_words`` words or more whose lines
+stand, in that order, at an earlier place: in a document with a smaller id, or earlier in
+the same one.
 
 Lines without a word are not compared; inside a deleted run they go with it.
 
@@ -28,7 +32,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerostrata.llm.staging import map_arrow, stored
@@ -38,13 +42,15 @@ MIN_WORDS = 50
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _FOUND = (
     "doc_id long, text_hash long, fingerprint binary, "
-    "windows array<struct<first:int,last:int,key:binary>>"
+    "windows array<struct<first:int,last:int,key:binary,more:binary>>"
 )
+#: Bytes of a line that follows a window: its number and the hash of the lines up to it.
+_PLACE, _HASH = 4, 8
 
 
 def _windows(text: str, min_words: int):
-    """Fingerprint, first line, last line and content key of every window of a text."""
-    from xxhash import xxh3_128_digest
+    """Fingerprint, first line, last line, content key and following lines of every window of a text."""
+    from xxhash import xxh3_64, xxh3_128_digest
 
     lines = text.split("\n")
     words = np.array([len(_WORDS.findall(line)) for line in lines])
@@ -60,7 +66,12 @@ def _windows(text: str, min_words: int):
             return
         inside = hashes[first : last + 1]
         key = inside[0] if first == last else xxh3_128_digest(b"".join(inside))
-        yield min(inside), int(at[first]), int(at[last]), key
+        more, so_far = [], xxh3_64()
+        # of the last line no window starts, its end is that of the text
+        for i in range(last + 1, int(lasts[first + 1]) if first + 1 < len(at) else len(at)):
+            so_far.update(hashes[i])
+            more.append(int(at[i]).to_bytes(_PLACE) + so_far.digest())
+        yield min(inside), int(at[first]), int(at[last]), key, b"".join(more)
 
 
 def fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
@@ -71,12 +82,14 @@ def fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
             rows: list[tuple] = []
             for doc_id, text_hash, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 chosen: dict[bytes, list[dict]] = {}
-                for fingerprint, first, last, key in _windows(text or "", min_words):
-                    window = {"first": first, "last": last, "key": key}
+                for fingerprint, first, last, key, more in _windows(text or "", min_words):
+                    window = {"first": first, "last": last, "key": key, "more": more}
                     chosen.setdefault(fingerprint, []).append(window)
                 rows += [(doc_id, text_hash, f, w) for f, w in chosen.items()]
             columns = list(zip(*rows, strict=True)) or [()] * 4
-            window = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("key", pa.binary())])
+            window = pa.struct(
+                [("first", pa.int32()), ("last", pa.int32()), ("key", pa.binary()), ("more", pa.binary())]
+            )
             types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(window)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
@@ -86,6 +99,17 @@ def fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
     return map_arrow(docs.select("doc_id", "text_hash", "text"), select, _FOUND)
 
 
+def _following(more: Column) -> Column:
+    """Number of each following line and hash of the lines up to it."""
+    size = _PLACE + _HASH
+
+    def line(i: Column) -> Column:
+        place = F.conv(F.hex(F.substring(more, i * size + 1, F.lit(_PLACE))), 16, 10).cast("int")
+        return F.struct(place.alias("last"), F.substring(more, i * size + 1 + _PLACE, F.lit(_HASH)).alias("upto"))
+
+    return F.transform(F.sequence(F.lit(0), (F.length(more) / size).cast("int") - 1), line)
+
+
 def repeated_lines(found: DataFrame, folder: str) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``lines``: the numbers of the lines to delete.
 
@@ -102,7 +126,18 @@ def repeated_lines(found: DataFrame, folder: str) -> DataFrame:
     place = F.struct("doc_id", "text_hash", "first")
     seen = windows.groupBy("key").agg(F.min(place).alias("earliest"), F.max(place).alias("latest"))
     seen = stored(seen.where("earliest < latest").select("key", "earliest"), f"{folder}/seen")
-    later = windows.join(seen, "key").where(F.col("earliest") < place)
+    matched = stored(windows.join(seen, "key"), f"{folder}/matched")
+    later = matched.where(F.col("earliest") < place).select("doc_id", "text_hash", "first", "last")
+
+    # of the lines that follow equal windows, those that are equal, too
+    longer = matched.where(F.length("more") > 0).select(
+        "doc_id", "text_hash", "first", "key", F.explode(_following(F.col("more"))).alias("f")
+    )
+    longer = longer.select("doc_id", "text_hash", "first", "key", "f.*")
+    again = longer.groupBy("key", "upto").agg(F.min(place).alias("earliest"), F.max(place).alias("latest"))
+    again = stored(again.where("earliest < latest").select("key", "upto", "earliest"), f"{folder}/again")
+    longer = longer.join(again, ["key", "upto"]).where(F.col("earliest") < place)
+    later = later.unionByName(longer.select("doc_id", "text_hash", "first", "last"))
     lines = F.array_distinct(F.flatten(F.collect_list(F.sequence("first", "last"))))
     return later.groupBy("doc_id", "text_hash").agg(lines.alias("lines"))
 

@@ -185,3 +185,36 @@ def test_repeated_rows_are_one_document(spark):
     assert [r.text for r in left] == [text, text, ""]
     none = spark.createDataFrame([], "doc_id long, text string")
     assert winnowing.deduplicated(none, run_folder(spark, "test"), 50).collect() == []
+
+
+def without_repeated_runs(rows, min_words):
+    """Every run of enough words is looked for at every earlier place."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows):
+        lines = text.split("\n")
+        at = [i for i, line in enumerate(lines) if line.split()]
+        gone = set()
+        for a in range(len(at)):
+            here = set()
+            for b in range(a, len(at)):
+                run = tuple(lines[i] for i in at[a : b + 1])
+                if sum(len(line.split()) for line in run) >= min_words:
+                    here.add(run)
+                    if run in seen:
+                        gone.update(range(at[a], at[b] + 1))
+            seen |= here
+        out[doc_id] = ("\n".join(line for i, line in enumerate(lines) if i not in gone), len(lines), len(gone))
+    return out
+
+
+def test_the_end_of_a_run_goes_with_it(spark):
+    run = [" ".join(f"w{n}x{i}" for i in range(n)) for n in (30, 25, 5)]
+    rows = [(1, "\n".join([*run, "one end"])), (2, "\n".join(["start", *run, "", "other end"]))]
+    assert deduplicated(spark, rows, 50)[2] == ("start\n\nother end", 6, 3)
+
+
+def test_whole_runs_on_random_documents(spark):
+    draw = random.Random(6)
+    lines = ["", "  ", "a b", "c d e", "f", "g h i j", "k l m n o p", "q r", "s t u"]
+    rows = [(i, "\n".join(draw.choices(lines, k=draw.randint(0, 16)))) for i in range(120)]
+    assert deduplicated(spark, rows, 8) == without_repeated_runs(rows, 8)
