@@ -224,3 +224,71 @@ def test_every_known_sentence_can_be_found():
     assert len(set(known)) == len(known)
     assert all(re.search(licences.MARK_WORDS, text) for text in known)
     assert all(name in licences.SENTENCES for _, names in licences.RULES for name in names)
+
+
+MIT = """MIT License
+
+Copyright (c) 2024 Ada Ash
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD_2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_3 = BSD_2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL_3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+APACHE = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+WRAPPED = {
+    MIT: "MIT", BSD_2: "BSD-2-Clause", BSD_3: "BSD-3-Clause", GPL_3: "GPL-3.0", APACHE: "Apache-2.0", ISC: "ISC",
+    MPL: "MPL-2.0", BSD_3 + BSD_2: "BSD-2-Clause,BSD-3-Clause", GPL_3.replace("version 3", "version 2"): "GPL-2.0",
+    GPL_3.replace("General", "Affero General"): "AGPL-3.0",
+    "A heading\nReleased under\nthe MIT License\nby Ada": "MIT", "Released under\n\nthe MIT License": "",
+    "Not released under\nthe MIT License.": "", "Released under\nthe MIT License and others.": "",
+}
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_wrapped_licence_texts(spark, mark):
+    texts = {"\r\n".join(mark + line for line in t.split("\n")): wanted for t, wanted in WRAPPED.items()}
+    texts |= {"\n".join(mark + line for line in t.split("\n")): wanted for t, wanted in WRAPPED.items()}
+    rows = licences.with_licences(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert {r.text: ",".join(r.licences) for r in rows} == texts
