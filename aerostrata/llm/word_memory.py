@@ -5,6 +5,9 @@ pieces one after the other are the ids of the whole text.  Most pieces are words
 that were seen before; only new ones go through the library, many per call.  The
 memory belongs to a Python worker and is emptied when it is full, which costs time
 but changes no result.
+
+Added tokens of a tokenizer file, such as ``<|endoftext|>``, are taken out of a text
+first, as the library does, and stand for their ids.
 """
 
 from __future__ import annotations
@@ -55,6 +58,31 @@ def cut_at_blanks(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def cut_around(tokens: list[str], cut: Callable[[str], list[str]]) -> Callable[[str], list[str]]:
+    """``cut`` for what lies between the added tokens, which are pieces themselves."""
+    if not tokens:
+        return cut
+    # of tokens that start at one place the longest counts
+    longest_first = sorted(tokens, key=len, reverse=True)
+    parts_of = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split
+
+    def around(text: str) -> list[str]:
+        for token in tokens:
+            if token in text:
+                break
+        else:
+            return cut(text)
+        pieces: list[str] = []
+        for i, part in enumerate(parts_of(text)):
+            if i % 2:
+                pieces.append(part)
+            elif part:
+                pieces += cut(part)
+        return pieces
+
+    return around
+
+
 class _Numbers(dict):
     """Numbers for pieces in order of appearance; ``new`` holds those to be encoded."""
 
@@ -146,16 +174,15 @@ def text_groups(texts: list[str | None]):
 def tokenizer_memory(path: str) -> PieceMemory:
     """The memory of this worker for a tokenizer file of the tokenizers library."""
     keeps_blanks = len(_steps(path)) == 1
-    return PieceMemory(
-        cut_byte_level if keeps_blanks else cut_at_blanks, LibraryEncoder(path, keeps_blanks)
-    )
+    cut = cut_byte_level if keeps_blanks else cut_at_blanks
+    return PieceMemory(cut_around(list(_added(path)), cut), LibraryEncoder(path, keeps_blanks))
 
 
 class LibraryEncoder:
     """Ids of many short pieces by the tokenizers library.
 
     The split into words is the one the tokenizer file names, the model of the
-    library encodes each different word once.
+    library encodes each different word once.  A piece that is an added token has its id.
     """
 
     def __init__(self, path: str, keeps_blanks: bool):
@@ -168,16 +195,22 @@ class LibraryEncoder:
         pattern = BYTE_LEVEL_PATTERN if keeps_blanks else _steps(path)[0]["pattern"]["Regex"]
         self.words_of = regex.compile(pattern).findall
         self.known: dict[str, list[int]] = {}
+        self.added = _added(path)
 
     def __call__(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        given = pieces
         if self.normalizer is not None:
             pieces = [p.lower() if p.isascii() else self.normalizer.normalize_str(p) for p in pieces]
         if len(self.known) > PIECES_KEPT:
             self.known.clear()
         ids: list[int] = []
         counts = np.empty(len(pieces), np.int64)
-        known, words_of = self.known, self.words_of
+        known, words_of, added = self.known, self.words_of, self.added
         for i, piece in enumerate(pieces):
+            if given[i] in added:
+                ids.append(added[given[i]])
+                counts[i] = 1
+                continue
             before = len(ids)
             # letters after at most one kept blank are a single word
             plain = (piece[1:] if self.keeps_blanks and piece[0] == " " else piece).isalpha()
@@ -214,6 +247,16 @@ def _steps(path: str) -> list[dict]:
     raise ValueError(f"no safe cut is known for the tokenizer in {path}")
 
 
+@functools.lru_cache(maxsize=4)
+def _added(path: str) -> dict[str, int]:
+    """Ids of the added tokens; kinds that are not matched as they are written are refused."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens") or []
+    if any(t[kind] for t in tokens for kind in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"added tokens of a kind that is not known in {path}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def vocabulary_size(path: str) -> int:
     from tokenizers import Tokenizer
 

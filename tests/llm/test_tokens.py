@@ -257,3 +257,14 @@ def test_digests_are_those_of_the_ids(spark, docs, libraries):
         "ids", F.crc32("ids").alias("crc"), F.sha2("ids", 256).alias("sha")
     ).first()
     assert row.crc == zlib.crc32(bytes(row.ids)) and row.sha == hashlib.sha256(bytes(row.ids)).hexdigest()
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_added_tokens_are_single_ids(path):
+    """Texts with added tokens against the library as it is."""
+    library = Tokenizer.from_file(path)
+    draw = random.Random(4)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", " ", "\n", "a", "é", "İ", "word", "  ", "x\0"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", *("".join(draw.choices(parts, k=8)) for _ in range(300))]
+    assert pieces_of(tokenizer_memory(path), texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert tokenizer_memory(path).count(texts).tolist() == [len(p) for p in pieces_of(tokenizer_memory(path), texts)]
