@@ -2,13 +2,14 @@
 
 Values are found by shape, validated, and replaced by a keyed permutation of
 themselves: a Feistel network over the positions of the value.  Equal values get
-equal pseudonyms wherever they stand, different values different ones, and a
+equal pseudonyms wherever they stand and however they are separated, different values different ones, and a
 pseudonym has the format of its value and passes the same validation.
 
 Each value becomes a list of slots, a slot being a number below its own radix (a digit
 below 10, a letter below 26, an octet below 256, one part of a day number).  Rounds
 change one half of the slots by a keyed hash of the other half, in turns, so
 every round can be undone and the whole maps the format one to one onto itself.
+Blanks, dashes and brackets of numbers are no slots; the result is put back among them.
 
 ==========  =================================================================
 kind        validation; what is permuted
@@ -55,7 +56,7 @@ SHAPES: list[tuple[str, str]] = [
     ),
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){9,30}+(?![0-9A-Za-z])"),
     ("ip", r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"),
-    ("date", r"(?<![0-9A-Za-z/-])[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}(?![0-9A-Za-z/-])"),
+    ("date", r"(?<![0-9A-Za-z/-])[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}(?:(?=[Tt][0-9]{2}:?[0-9]{2})|(?![0-9A-Za-z/-]))"),
     ("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])"),
     ("phone", r"(?<![0-9A-Za-z+])\+[0-9]{1,3}" + _GROUP + r"{2,5}(?![0-9A-Za-z])"),
     (
@@ -65,6 +66,8 @@ SHAPES: list[tuple[str, str]] = [
     ),
     ("card", r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[ -][0-9])"),
 ]
+#: Country codes end by themselves, whatever separates them: 1, 7, those of two digits, or three.
+COUNTRY_CODE = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 PATTERN = "|".join(f"(?:{shape})" for _, shape in SHAPES)
 
 
@@ -136,6 +139,20 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
+def _compact(text: Column) -> Column:
+    return F.regexp_replace(text, "[^0-9A-Za-z]", "")
+
+
+def _laid_out(hit: Column, new: Column) -> Column:
+    """The letters and digits of ``new`` in place of those of ``hit``, one by one."""
+
+    def shown(c: Column, i: Column) -> Column:
+        n = F.length(_compact(F.substring(hit, F.lit(1), i + 1)))
+        return F.when(c.rlike("[0-9A-Za-z]"), F.substring(new, n, F.lit(1))).otherwise(c)
+
+    return F.array_join(F.transform(_characters(hit), shown), "")
+
+
 def _luhn_sum(digits: Column, doubled_first: bool) -> Column:
     """The Luhn sum of a digit string, from the right."""
 
@@ -150,14 +167,16 @@ def _luhn_sum(digits: Column, doubled_first: bool) -> Column:
 
 
 def _card(hit: Column, key: str) -> Column:
-    payload = F.substring(hit, F.lit(1), F.length(hit) - 1)
+    digits = _digits(hit)
+    payload = F.substring(digits, F.lit(1), F.length(digits) - 1)
 
     def checked(moved: Column) -> Column:
-        check = (10 - _luhn_sum(_digits(moved), True) % 10) % 10
+        check = (10 - _luhn_sum(moved, True) % 10) % 10
         return F.concat(moved, check.cast("string"))
 
-    permuted = _let(_permute_characters(payload, key, "card"), checked)
-    return F.when(_luhn_sum(_digits(hit), False) % 10 == 0, permuted).otherwise(hit)
+    new = _let(_permute_characters(payload, key, "card"), checked)
+    permuted = _let(new, lambda x: _laid_out(hit, x))
+    return F.when(_luhn_sum(digits, False) % 10 == 0, permuted).otherwise(hit)
 
 
 def _mod97(text: Column) -> Column:
@@ -173,15 +192,14 @@ def _mod97(text: Column) -> Column:
 def _iban(hit: Column, key: str) -> Column:
     def renewed(account: Column) -> Column:
         country = F.substring(hit, 1, 2)
-        rest = _mod97(F.concat(F.regexp_replace(account, " ", ""), country, F.lit("00")))
+        rest = _mod97(F.concat(account, country, F.lit("00")))
         return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), account)
 
     compact = F.regexp_replace(hit, " ", "")
     body = F.concat(F.substring(compact, F.lit(5), F.length(compact)), F.substring(compact, 1, 4))
-    account = F.substring(hit, F.lit(5), F.length(hit))
-    return F.when(
-        _mod97(body) == 1, _let(_permute_characters(account, key, "iban"), renewed)
-    ).otherwise(hit)
+    account = F.substring(compact, F.lit(5), F.length(compact))
+    new = _let(_permute_characters(account, key, "iban"), renewed)
+    return F.when(_mod97(body) == 1, _let(new, lambda x: _laid_out(hit, x))).otherwise(hit)
 
 
 def _numbers(text: Column, separator: str) -> Column:
@@ -247,10 +265,12 @@ def _date(hit: Column, key: str) -> Column:
 
 
 def _phone(hit: Column, key: str) -> Column:
-    code = F.regexp_extract(hit, r"^\+[0-9]{1,3}(?=[ .(-])|^\+1|", 0)
-    national = F.substring(hit, F.length(code) + 1, F.length(hit))
-    valid = F.length(_digits(hit)).between(7, 15)
-    return F.when(valid, F.concat(code, _permute_characters(national, key, "phone"))).otherwise(hit)
+    digits = _digits(hit)
+    code = F.when(hit.startswith("+"), F.regexp_extract(digits, COUNTRY_CODE, 0)).otherwise("")
+    national = F.substring(digits, F.length(code) + 1, F.length(digits))
+    new = F.concat(code, _permute_characters(national, key, "phone"))
+    valid = F.length(digits).between(7, 15)
+    return F.when(valid, _let(new, lambda x: _laid_out(hit, x))).otherwise(hit)
 
 
 def _email(hit: Column, key: str) -> Column:

@@ -292,3 +292,23 @@ def test_wrapped_licence_texts(spark, mark):
     texts |= {"\n".join(mark + line for line in t.split("\n")): wanted for t, wanted in WRAPPED.items()}
     rows = licences.with_licences(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
     assert {r.text: ",".join(r.licences) for r in rows} == texts
+
+
+def test_separators_do_not_change_a_pseudonym(replace):
+    same = [
+        ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111"],
+        ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00"],
+        ["(017) 555-7713", "017-555-7713", "017.555.7713"],
+        ["+49 30 1234567", "+4930 1234567", "+49-30-123-4567"],
+        ["+1 (017) 555-7713", "+1 017 555 7713", "+1-017-555-7713"],
+    ]
+    for values in same:
+        found = replace(*values)
+        assert len({re.sub("[^0-9A-Z]", "", text) for text, _ in found}) == 1, found
+        for value, (text, n) in zip(values, found, strict=True):
+            assert n == 1 and text != value and re.sub("[0-9]", "9", text) == re.sub("[0-9]", "9", value)
+
+
+def test_dates_of_timestamps(replace):
+    (day, _), (stamp, n), (other, m) = replace("2024-03-05", "at 2024-03-05T10:00:00Z", "2024-03-05x")
+    assert day != "2024-03-05" and (stamp, n) == (f"at {day}T10:00:00Z", 1) and (other, m) == ("2024-03-05x", 0)
