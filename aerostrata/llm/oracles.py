@@ -26,11 +26,16 @@ WITH split AS (
 ), starts AS (
     SELECT *, unnest(generate_series(1, len(lines))) AS first FROM own
 ), spans AS (
-    SELECT *, 1 + len([x FOR x IN sums IF x < needs[first]]) AS last FROM starts
+    SELECT *, 1 + len([x FOR x IN sums IF x < needs[first]]) AS shortest FROM starts
+), nexts AS (
+    SELECT *, lead(shortest, 1, len(lines) + 1) OVER (PARTITION BY doc_id ORDER BY first) - 1 AS longest FROM spans
+), stretches AS (
+    SELECT *, unnest(generate_series(shortest, greatest(shortest, longest))) AS last
+    FROM nexts WHERE shortest <= len(lines)
 ), windows AS (
     SELECT doc_id, places[first] AS from_line, places[last] AS to_line,
            array_to_string(list_slice(lines, first, last), chr(10)) AS content
-    FROM spans WHERE last <= len(lines)
+    FROM stretches
 ), later AS (
     SELECT * FROM (
         SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, from_line) AS n FROM windows

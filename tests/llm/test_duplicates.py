@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+from collections import defaultdict
 
 import pytest
 import xxhash
@@ -115,9 +116,9 @@ def test_near_duplicates_without_rows(spark):
     assert simhash.one_of_each(none, run_folder(spark, "test"), 3, 2).collect() == []
 
 
-def without_repeats(rows, min_words):
-    """Documents in order of id; a stretch of lines of enough words that was seen before goes."""
-    seen, out = set(), {}
+def without_repeated_runs(rows, min_words):
+    """Every shortest run of enough words is looked up at its earlier places and followed from there."""
+    places, out = defaultdict(list), {}
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         if text is None:
             out[doc_id] = (None, 0, 0)
@@ -125,17 +126,19 @@ def without_repeats(rows, min_words):
         lines = text.split("\n")
         words = [len(re.findall(r"[^\x20\x09-\x0D]+", line)) for line in lines]
         at = [i for i, n in enumerate(words) if n]
+        here = [lines[i] for i in at]
         gone = set()
         for a in range(len(at)):
-            total = 0
-            for b in range(a, len(at)):
-                total += words[at[b]]
-                if total >= min_words:
-                    content = tuple(lines[i] for i in at[a : b + 1])
-                    if content in seen:
-                        gone.update(range(at[a], at[b] + 1))
-                    seen.add(content)
-                    break
+            sums = itertools.accumulate(words[i] for i in at[a:])
+            n = next((k for k, total in enumerate(sums, 1) if total >= min_words), None)
+            if n is None:
+                break
+            for there, p in places[tuple(here[a : a + n])]:
+                k = n
+                while a + k < len(here) and p + k < len(there) and here[a + k] == there[p + k]:
+                    k += 1
+                gone.update(range(at[a], at[a + k - 1] + 1))
+            places[tuple(here[a : a + n])].append((here, a))
         out[doc_id] = ("\n".join(line for i, line in enumerate(lines) if i not in gone), len(lines), len(gone))
     return out
 
@@ -151,7 +154,7 @@ def test_line_dedup_on_random_documents(spark):
     draw = random.Random(5)
     lines = ["", "  ", "a b", "c d e", "f", "g h i j", "k l m n o p", "q r", "s t u"]
     rows = [(i, "\n".join(draw.choices(lines, k=draw.randint(0, 14)))) for i in range(80)]
-    assert deduplicated(spark, rows, 8) == without_repeats(rows, 8)
+    assert deduplicated(spark, rows, 8) == without_repeated_runs(rows, 8)
 
 
 def test_line_dedup_cases(spark):
@@ -165,7 +168,7 @@ def test_line_dedup_cases(spark):
         (4, short), (5, short), (6, ""), (7, None), (8, "one line " * 400), (9, "one line " * 400 + "!"),
     ]
     found = deduplicated(spark, rows, 50)
-    assert found == without_repeats(rows, 50)
+    assert found == without_repeated_runs(rows, 50)
     assert found[2][0] == "other\nend" and found[3][0] == "" and found[5][0] == short
     assert found[1][2] == 0 and found[9][2] == 0
 
@@ -187,26 +190,6 @@ def test_repeated_rows_are_one_document(spark):
     assert winnowing.deduplicated(none, run_folder(spark, "test"), 50).collect() == []
 
 
-def without_repeated_runs(rows, min_words):
-    """Every run of enough words is looked for at every earlier place."""
-    seen, out = set(), {}
-    for doc_id, text in sorted(rows):
-        lines = text.split("\n")
-        at = [i for i, line in enumerate(lines) if line.split()]
-        gone = set()
-        for a in range(len(at)):
-            here = set()
-            for b in range(a, len(at)):
-                run = tuple(lines[i] for i in at[a : b + 1])
-                if sum(len(line.split()) for line in run) >= min_words:
-                    here.add(run)
-                    if run in seen:
-                        gone.update(range(at[a], at[b] + 1))
-            seen |= here
-        out[doc_id] = ("\n".join(line for i, line in enumerate(lines) if i not in gone), len(lines), len(gone))
-    return out
-
-
 def test_the_end_of_a_run_goes_with_it(spark):
     run = [" ".join(f"w{n}x{i}" for i in range(n)) for n in (30, 25, 5)]
     rows = [(1, "\n".join([*run, "one end"])), (2, "\n".join(["start", *run, "", "other end"]))]

@@ -12,7 +12,7 @@ from aerostrata.llm import quality_rules, queries
 from aerostrata.llm.staging import run_folder, stored
 from tests import comparing
 from tests.conftest import SMALL
-from tests.llm.test_duplicates import expected_fingerprint, roots, without_repeats
+from tests.llm.test_duplicates import expected_fingerprint, roots, without_repeated_runs
 from tests.llm.test_texts import measures
 
 
@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, small_duck, monkeypatch, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names - {"pipeline"}} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names - {"pipeline"}} == {f"op{i}" for i in range(1, 14)}
     assert names <= set(entry.queries())
 
 
@@ -53,7 +53,7 @@ def test_every_stage_against_plain_python(spark):
     assert {i: r.text for i, r in kept.items()} == rows
 
     df, left = after("line dedup", df)
-    wanted = without_repeats(rows.items(), 50)
+    wanted = without_repeated_runs(rows.items(), 50)
     rows = {i: t for i, (t, _, gone) in wanted.items() if not gone or t.translate(dict.fromkeys(map(ord, quality_rules.BLANKS)))}
     assert df.columns == columns and {i: r.text for i, r in left.items()} == rows
     assert all(r.n_chars == len(r.text) for r in left.values())

@@ -34,11 +34,7 @@ TEXTS = st.text(st.sampled_from("ab'sT .,\n\t é1!日́\x1c"), max_size=40)
 
 @pytest.fixture(scope="module")
 def libraries():
-    out = {}
-    for path in (BYTES, WORDS):
-        out[path] = Tokenizer.from_file(path)
-        out[path].encode_special_tokens = True
-    return out
+    return {path: Tokenizer.from_file(path) for path in (BYTES, WORDS)}
 
 
 @pytest.fixture(scope="module")
