@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from aerostrata.llm import (
     byte_pieces,
+    conversation_repair,
     length_histogram,
     licences,
     neighbours,
@@ -22,7 +23,7 @@ from aerostrata.llm import (
     winnowing,
 )
 from aerostrata.llm.oracles import ORACLES
-from aerostrata.llm.staging import run_folder
+from aerostrata.llm.staging import run_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,10 +32,15 @@ def _table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Ids and texts, so that further columns of any name cannot clash with results."""
+    return _table(spark, data_dir, "documents").select("doc_id", "text")
+
+
 def op1_pseudonyms(spark: SparkSession, data_dir: str) -> DataFrame:
     """All documents with private values replaced, and how many there were in each."""
     replaced = pseudonyms.pseudonymized(
-        _table(spark, data_dir, "documents"), key=corpus_pipeline.PSEUDONYM_KEY, counts_col="n_replaced"
+        _documents(spark, data_dir), key=corpus_pipeline.PSEUDONYM_KEY, counts_col="n_replaced"
     )
     return replaced.select("doc_id", "n_replaced", "text")
 
@@ -42,15 +48,15 @@ def op1_pseudonyms(spark: SparkSession, data_dir: str) -> DataFrame:
 def op2_length_histogram(spark: SparkSession, data_dir: str) -> DataFrame:
     """For every length that occurs: documents and tokens below, above and if cut there."""
     lengths = length_histogram.histogram(
-        _table(spark, data_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+        _documents(spark, data_dir), public_tokenizers.path("byte_bpe_50k.json")
     )
-    return length_histogram.suffix_sums(lengths)
+    return length_histogram.suffix_sums(stored(lengths, run_folder(spark, "lengths")))
 
 
 def op3_token_file(spark: SparkSession, data_dir: str) -> DataFrame:
     """Documents as read back from a Huffman-coded token file."""
     file = token_files.write(
-        _table(spark, data_dir, "documents"),
+        _documents(spark, data_dir),
         run_folder(spark, "token-file"),
         public_tokenizers.path("byte_bpe_50k.json"),
         end_id=2,
@@ -63,7 +69,7 @@ def op3_token_file(spark: SparkSession, data_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, data_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(
-        _table(spark, data_dir, "documents"),
+        _documents(spark, data_dir),
         run_folder(spark, "simhash"),
         shingle_words=corpus_pipeline.SHINGLE_WORDS,
         radius=corpus_pipeline.RADIUS,
@@ -76,7 +82,7 @@ def op4_simhash(spark: SparkSession, data_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     """All documents without later repeats of runs of 50 words and more."""
     left = winnowing.deduplicated(
-        _table(spark, data_dir, "documents"),
+        _documents(spark, data_dir),
         run_folder(spark, "lines"),
         lines_col="n_lines",
         deleted_col="n_deleted_lines",
@@ -86,7 +92,7 @@ def op5_line_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def op6_licences(spark: SparkSession, data_dir: str) -> DataFrame:
     """Known licence sentences and recognised licences of every document."""
-    found = licences.with_licences(_table(spark, data_dir, "documents"))
+    found = licences.with_licences(_documents(spark, data_dir))
     return found.select(
         "doc_id",
         F.size("licence_sentences").cast("long").alias("n_sentences"),
@@ -99,7 +105,7 @@ def op7_byte_pieces(spark: SparkSession, data_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the bytes decoded from them."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_pieces.encode(
-        _table(spark, data_dir, "documents"), ranks, public_tokenizers.PATTERN
+        _documents(spark, data_dir), ranks, public_tokenizers.PATTERN
     )
     return byte_pieces.decode(encoded, ranks).select(
         "doc_id",
@@ -111,7 +117,7 @@ def op7_byte_pieces(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def op8_packing(spark: SparkSession, data_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 2048 tokens."""
-    return corpus_pipeline.packed(spark, _table(spark, data_dir, "documents"))
+    return corpus_pipeline.packed(spark, _documents(spark, data_dir))
 
 
 def op9_neighbours(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -127,7 +133,7 @@ def op9_neighbours(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, data_dir: str) -> DataFrame:
     """Measurements of every document and the verdicts of two policies."""
-    judged = quality_rules.with_ledger(_table(spark, data_dir, "documents"))
+    judged = quality_rules.with_ledger(_documents(spark, data_dir))
     failed = F.col("quality.failed")
     return judged.select(
         "doc_id",
@@ -138,6 +144,28 @@ def op10_quality_rules(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest repair and a digest of the result."""
+    turns = _table(spark, data_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found, rows = conversation_repair.repaired(
+        conversation_repair.damaged(turns), run_folder(spark, "conversation-repair")
+    )
+    digests = conversation_repair.digests(rows)
+    every = turns.select(F.col("conv_id").cast("long").alias("conv_id")).distinct().alias("c")
+    same = lambda other: F.col("c.conv_id").eqNullSafe(F.col(f"{other}.conv_id"))
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (
+        every.join(found.alias("f"), same("f"), "left")
+        .join(digests.alias("d"), same("d"), "left")
+        .select(
+            "c.conv_id",
+            *(F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in numbers),
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pseudonyms": op1_pseudonyms,
@@ -150,6 +178,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_neighbours": op9_neighbours,
         "op10_quality_rules": op10_quality_rules,
+        "op11_conversation_repair": op11_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }
 

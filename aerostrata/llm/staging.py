@@ -30,8 +30,8 @@ def stored(df: DataFrame, folder: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def map_arrow(df: DataFrame, function, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` whose workers find this package where the driver found it.
+def shipped(df: DataFrame) -> DataFrame:
+    """The frame, after its Python workers were told to find this package where the driver did.
 
     Executors that have it installed elsewhere are not affected.
     """
@@ -39,7 +39,12 @@ def map_arrow(df: DataFrame, function, schema: str | T.StructType) -> DataFrame:
     paths = df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", here)
     if here not in paths.split(os.pathsep):
         df.sparkSession.sparkContext.environment["PYTHONPATH"] = f"{paths}{os.pathsep}{here}"
-    return df.mapInArrow(function, schema)
+    return df
+
+
+def map_arrow(df: DataFrame, function, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` whose workers find this package."""
+    return shipped(df).mapInArrow(function, schema)
 
 
 def unused(df: DataFrame, name: str) -> str:
