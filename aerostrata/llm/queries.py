@@ -19,6 +19,7 @@ from aerostrata.llm import (
     pseudonyms,
     quality_rules,
     simhash,
+    tiered_packing,
     token_files,
     winnowing,
 )
@@ -166,6 +167,20 @@ def op11_conversation_repair(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def op12_tiered_packing(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of 512 to 4096 tokens."""
+    placed = tiered_packing.packed(
+        _documents(spark, data_dir),
+        run_folder(spark, "tiered-packing"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        end_id=2,
+    )
+    return placed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+        "context", "step_group",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pseudonyms": op1_pseudonyms,
@@ -179,6 +194,7 @@ def queries() -> dict[str, Query]:
         "op9_neighbours": op9_neighbours,
         "op10_quality_rules": op10_quality_rules,
         "op11_conversation_repair": op11_conversation_repair,
+        "op12_tiered_packing": op12_tiered_packing,
         "pipeline": corpus_pipeline.run,
     }
 
