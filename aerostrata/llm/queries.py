@@ -16,6 +16,7 @@ from aerostrata.llm import (
     licences,
     neighbours,
     packing,
+    prefix_trie,
     pseudonyms,
     quality_rules,
     simhash,
@@ -181,6 +182,15 @@ def op12_tiered_packing(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Every node of the trie of conversations that begin like the first of their five ids."""
+    folder = run_folder(spark, "prefix-trie")
+    turns = prefix_trie.turns_in_order(_table(spark, data_dir, "conversations"), folder)
+    ids = stored(turns.select("conv_id").distinct(), f"{folder}/ids")
+    begun = stored(prefix_trie.rebuilt(turns), f"{folder}/rebuilt")
+    return prefix_trie.trie(begun, ids, folder)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pseudonyms": op1_pseudonyms,
@@ -195,6 +205,7 @@ def queries() -> dict[str, Query]:
         "op10_quality_rules": op10_quality_rules,
         "op11_conversation_repair": op11_conversation_repair,
         "op12_tiered_packing": op12_tiered_packing,
+        "op13_prefix_trie": op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -9,9 +9,10 @@ import re
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
-from aerostrata.llm import conversation_repair, queries
+from aerostrata.llm import conversation_repair, prefix_trie, queries
 from aerostrata.llm.staging import run_folder
 from tests.conftest import DATA, SMALL
 
@@ -121,8 +122,7 @@ def repairs(df):
 
 @pytest.mark.parametrize("folder", [SMALL, DATA])
 def test_repair_of_the_given_conversations(spark, folder):
-    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
-    assert repairs(queries.op11_conversation_repair(spark, folder)) == expected_op11(rows)
+    assert repairs(queries.op11_conversation_repair(spark, folder)) == expected_op11(read_turns(spark, folder))
 
 
 def conversations_of(spark, tmp_path, rows, partitions=3):
@@ -182,3 +182,91 @@ def test_every_short_sequence_of_roles():
         ways, ends = conversation_repair.parsed(list(rows), "0"), conversation_repair._ends()
         best = min((c + ends[s][0], a + ends[s][1]) for s, (c, a) in ways.items())
         assert best == cheapest(rows)
+
+
+def expected_nodes(rows):
+    """The trie node by node, from all prefixes of all rebuilt conversations."""
+    own = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            own[conv_id].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    members, ends, children = defaultdict(list), defaultdict(list), defaultdict(set)
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 9
+        whole = tuple(own.get(c - c % 5, [])[:h] + own[c][h:])
+        ends[whole].append(c)
+        for d in range(len(whole) + 1):
+            members[whole[:d]].append(c)
+            if d:
+                children[whole[: d - 1]].add(whole[:d])
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children[node]
+        leaves[node] = sum(leaves[n] for n in below) if below else 1
+        size = len(node[-1][1].encode()) if node else 0
+        saved[node] = sum(saved[n] for n in below) + (len(members[node]) - 1) * size
+    return {
+        (members[n][0], len(n)): (
+            members[n[:-1]][0] if n else None, len(members[n]), len(children[n]), leaves[n], saved[n],
+            hashlib.sha256(",".join(map(str, ends[n])).encode()).hexdigest(),
+        )
+        for n in members
+    }
+
+
+def nodes_of(df):
+    found = df.collect()
+    columns = ["parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    out = {(r.conv_id, r.depth): tuple(r[c] for c in columns) for r in found}
+    assert len(out) == len(found)
+    return out
+
+
+def read_turns(spark, folder):
+    columns = ["conv_id", "turn", "role", "text"]
+    return [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select(*columns).collect()]
+
+
+@pytest.mark.parametrize("folder", [SMALL, DATA])
+def test_trie_of_the_given_conversations(spark, folder):
+    assert nodes_of(queries.op13_prefix_trie(spark, folder)) == expected_nodes(read_turns(spark, folder))
+
+
+@pytest.mark.parametrize("shard_nodes", [12, 1 << 16])
+def test_trie_of_odd_conversations(spark, tmp_path, monkeypatch, shard_nodes):
+    """Few different turns, so that many conversations are equal or begin alike; also in many small shards."""
+    draw = random.Random(13)
+    rows = odd_conversations(draw, 40, 7)
+    for c in range(100, 400):
+        rows += [(c, i, "user", draw.choice(["a", "b"]), "", 0) for i in range(draw.randint(1, 14))]
+    rows += [(c, i, "user", f"t{i}", "", 0) for c in (500, 501, 506) for i in range(300)]
+    folder = conversations_of(spark, tmp_path, rows)
+    monkeypatch.setattr(prefix_trie, "SHARD_NODES", shard_nodes)
+    assert nodes_of(queries.op13_prefix_trie(spark, folder)) == expected_nodes([r[:4] for r in rows])
+
+
+def test_trie_without_rows(spark, tmp_path):
+    assert queries.op13_prefix_trie(spark, conversations_of(spark, tmp_path, [])).collect() == []
+    lone = conversations_of(spark, tmp_path / "lone", [(7, None, None, None, "", 0)])
+    assert nodes_of(queries.op13_prefix_trie(spark, lone)) == expected_nodes([(7, None, None, None)])
+
+
+def test_closing_parentheses():
+    draw = random.Random(14)
+    for n in [1, 2, 31, 32, 33, 500, 5000]:
+        parens, depth, left = [], 0, n
+        while left or depth:
+            up = left and (depth < 1 or draw.random() < 0.6) and not (parens and depth == 0)
+            up = up or (left and depth == 1)  # one root
+            parens.append(bool(up))
+            depth += 1 if up else -1
+            left -= bool(up)
+        stack, wanted = [], {}
+        for i, opens in enumerate(parens):
+            if opens:
+                stack.append(i)
+            else:
+                wanted[stack.pop()] = i
+        opens = np.flatnonzero(parens)
+        assert prefix_trie.find_close(np.array(parens), opens).tolist() == [wanted[i] for i in opens.tolist()]
