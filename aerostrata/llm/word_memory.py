@@ -3,8 +3,8 @@
 A text is cut only where its tokenizer can never join across, so the ids of the
 pieces one after the other are the ids of the whole text.  Most pieces are words
 that were seen before; only new ones go through the library, many per call.  The
-memory belongs to a Python worker and is emptied when it is full, which costs time
-but changes no result.
+memory belongs to a Python worker; when it is full, pieces that were not met again are
+forgotten, which costs time but changes no result.
 
 Added tokens of a tokenizer file, such as ``<|endoftext|>``, are taken out of a text
 first, as the library does, and stand for their ids.
@@ -33,6 +33,7 @@ BYTE_LEVEL_PATTERN = (
 _SHOWN_AS_THEMSELVES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHERS = [b for b in range(256) if b not in _SHOWN_AS_THEMSELVES]
 BYTE_LETTERS = "".join(chr(256 + _OTHERS.index(b)) if b in _OTHERS else chr(b) for b in range(256))
+_JOINED_LETTERS = BYTE_LETTERS[:255] + " "
 
 Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
@@ -84,57 +85,82 @@ def cut_around(tokens: list[str], cut: Callable[[str], list[str]]) -> Callable[[
 
 
 class _Numbers(dict):
-    """Numbers for pieces in order of appearance; ``new`` holds those to be encoded."""
+    """Numbers for strings in order of appearance; ``new`` holds those to be encoded."""
 
     def __init__(self):
         super().__init__({"": 0})
         self.new: list[str] = []
 
-    def __missing__(self, piece: str) -> int:
-        number = self[piece] = len(self)
-        self.new.append(piece)
+    def __missing__(self, text: str) -> int:
+        number = self[text] = len(self)
+        self.new.append(text)
         return number
 
 
-class PieceMemory:
-    """Ids of whole texts from ids of their pieces.
+class Remembered:
+    """Ids of strings that were encoded before.
 
-    ``encode`` gives for a list of pieces all their ids and the number per piece.
+    ``encode`` gives for a list of strings all their ids and the number of each.  When
+    ``kept`` strings are exceeded, those that were not met again since the last time are
+    forgotten, so frequent ones stay and strings met once make room.
     """
 
-    def __init__(self, cut: Callable[[str], list[str]], encode: Encoder, kept: int = PIECES_KEPT):
-        self.cut, self.encode_pieces, self.kept = cut, encode, kept
-        self._forget()
-
-    def _forget(self) -> None:
+    def __init__(self, encode: Encoder, kept: int):
+        self._encode, self._kept = encode, kept
         self._known = _Numbers()
-        self._starts = np.zeros(1024, np.int64)
-        self._counts = np.zeros(1024, np.int64)
-        self._ids = np.zeros(4096, np.uint32)
+        self.starts = np.zeros(1024, np.int64)
+        self.counts = np.zeros(1024, np.int64)
+        self.ids = np.zeros(4096, np.uint32)
+        self._met = np.zeros(1024, bool)
         self._used = 0
 
-    def _learn(self, pieces: list[str]) -> None:
-        ids, counts = self.encode_pieces(pieces)
+    def __len__(self) -> int:
+        return len(self._known)
+
+    def _learn(self, strings: list[str]) -> None:
+        ids, counts = self._encode(strings)
         last = len(self._known)
-        first = last - len(pieces)
-        self._starts = _room(self._starts, last)
-        self._counts = _room(self._counts, last)
-        self._ids = _room(self._ids, self._used + len(ids))
-        self._counts[first:last] = counts
-        self._starts[first:last] = self._used + np.cumsum(counts) - counts
-        self._ids[self._used : self._used + len(ids)] = ids
+        first = last - len(strings)
+        self.starts, self.counts = _room(self.starts, last), _room(self.counts, last)
+        self._met = _room(self._met, last)
+        self.ids = _room(self.ids, self._used + len(ids))
+        self.counts[first:last] = counts
+        self.starts[first:last] = self._used + np.cumsum(counts) - counts
+        self.ids[self._used : self._used + len(ids)] = ids
         self._used += len(ids)
 
-    def _codes(self, pieces: list[str]) -> np.ndarray:
-        if len(self._known) > self.kept:
+    def _forget(self) -> None:
+        met = np.flatnonzero(self._met[1 : len(self._known)])[: self._kept // 2] + 1
+        strings = list(self._known)
+        self._known = _Numbers()
+        self._known.update(zip((strings[i] for i in met.tolist()), range(1, len(met) + 1), strict=True))
+        keep = np.concatenate([[0], met])
+        counts = self.counts[keep]
+        ids = ragged(self.ids, self.starts[keep], counts)
+        self.counts, self.ids, self._used = counts, ids, len(ids)
+        self.starts = np.cumsum(counts) - counts
+        self._met = np.zeros(len(keep), bool)
+
+    def codes(self, strings: list[str]) -> np.ndarray:
+        """A number for each string, with which ``starts`` and ``counts`` are read until the next call."""
+        if len(self._known) > self._kept:
             self._forget()
-        known = self._known
-        codes = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        known, before = self._known, len(self._known)
+        codes = np.fromiter(map(known.__getitem__, strings), np.int64, len(strings))
         if known.new:
             new, known.new = known.new, []
             self._learn(new)
+        self._met[codes] = True
+        self._met[before:] = False
         return codes
 
+
+class PieceMemory:
+    """Ids of whole texts from ids of their pieces, which ``encode`` gives."""
+
+    def __init__(self, cut: Callable[[str], list[str]], encode: Encoder, kept: int = PIECES_KEPT):
+        self.cut, self.known = cut, Remembered(encode, kept)
+
     def _group(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         pieces: list[str] = []
         ends = [0]
@@ -142,8 +168,8 @@ class PieceMemory:
             if text:
                 pieces += self.cut(text)
             ends.append(len(pieces))
-        codes = self._codes(pieces)
-        counts = self._counts[codes]
+        codes = self.known.codes(pieces)
+        counts = self.known.counts[codes]
         sums = np.zeros(len(codes) + 1, np.int64)
         np.cumsum(counts, out=sums[1:])
         at = np.array(ends)
@@ -152,7 +178,7 @@ class PieceMemory:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts and the number of each; a null text is empty."""
         codes, per_piece, per_text = self._group(texts)
-        return ragged(self._ids, self._starts[codes], per_piece), per_text
+        return ragged(self.known.ids, self.known.starts[codes], per_piece), per_text
 
     def count(self, texts: list[str | None]) -> np.ndarray:
         """The number of ids of each text."""
@@ -194,37 +220,43 @@ class LibraryEncoder:
         self.keeps_blanks = keeps_blanks
         pattern = BYTE_LEVEL_PATTERN if keeps_blanks else _steps(path)[0]["pattern"]["Regex"]
         self.words_of = regex.compile(pattern).findall
-        self.known: dict[str, list[int]] = {}
+        self.known = Remembered(self._encode_words, PIECES_KEPT)
         self.added = _added(path)
 
     def __call__(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        given = pieces
+        ids, counts = self._encode_pieces(pieces)
+        if self.added.keys().isdisjoint(pieces):
+            return ids, counts
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for i, piece in enumerate(pieces):
+            if piece in self.added:
+                parts[i], counts[i] = np.array([self.added[piece]], np.uint32), 1
+        return np.concatenate(parts), counts
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.normalizer is not None:
             pieces = [p.lower() if p.isascii() else self.normalizer.normalize_str(p) for p in pieces]
-        if len(self.known) > PIECES_KEPT:
-            self.known.clear()
-        ids: list[int] = []
-        counts = np.empty(len(pieces), np.int64)
-        known, words_of, added = self.known, self.words_of, self.added
-        for i, piece in enumerate(pieces):
-            if given[i] in added:
-                ids.append(added[given[i]])
-                counts[i] = 1
-                continue
-            before = len(ids)
+        words: list[str] = []
+        ends = [0]
+        words_of, keeps_blanks = self.words_of, self.keeps_blanks
+        for piece in pieces:
             # letters after at most one kept blank are a single word
-            plain = (piece[1:] if self.keeps_blanks and piece[0] == " " else piece).isalpha()
-            for word in (piece,) if plain else words_of(piece):
-                found = known.get(word)
-                if found is None:
-                    found = known[word] = self._encode_word(word)
-                ids += found
-            counts[i] = len(ids) - before
-        return np.array(ids, np.uint32), counts
-
-    def _encode_word(self, word: str) -> list[int]:
-        shown = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return [token.id for token in self.model.tokenize(shown)]
+            if (piece[1:] if keeps_blanks and piece[0] == " " else piece).isalpha():
+                words.append(piece)
+            else:
+                words += words_of(piece)
+            ends.append(len(words))
+        codes = self.known.codes(words)
+        counts = self.known.counts[codes]
+        sums = np.concatenate([[0], np.cumsum(counts)])[ends]
+        return ragged(self.known.ids, self.known.starts[codes], counts), np.diff(sums)
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # the byte 255 occurs in no encoded text
+        joined = b"\xff".join([word.encode() for word in words]).decode("latin-1")
+        tokens = list(map(self.model.tokenize, joined.translate(_JOINED_LETTERS).split(" ")))
+        ids = [token.id for found in tokens for token in found]
+        return np.array(ids, np.uint32), np.fromiter(map(len, tokens), np.int64, len(tokens))
 
 
 @functools.lru_cache(maxsize=4)
