@@ -8,7 +8,8 @@ longer documents are cut.  Sums are taken inside groups of neighbouring lengths
 over the groups, so no task sorts all lengths.
 
 Defined cases: a null text is empty and has length zero (without an end token); an empty table gives
-no rows and answers zero; other columns play no part; repeated rows count each.
+no rows and answers zero; other columns play no part; repeated rows count each; a text of any
+length is one row of the histogram; equal lengths share a row, so ties cannot occur.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ def histogram(
 
 
 def suffix_sums(lengths: DataFrame) -> DataFrame:
-    """The histogram with sums for each length as a limit.
+    """The histogram, a stored table as it is read twice, with sums for each length as a limit.
 
     ``docs_longer`` and ``tokens_longer`` are over documents above the length,
     ``docs_up_to`` and ``tokens_up_to`` over the others, and ``truncated_tokens``
@@ -58,17 +59,20 @@ def suffix_sums(lengths: DataFrame) -> DataFrame:
         (F.col("length") * F.col("n_docs")).alias("tokens"),
         F.floor(F.col("length") / GROUP).alias("part"),
     )
+    # one row for every GROUP lengths: as many as the longest text has thousands of tokens
     per_part = rows.groupBy("part").agg(F.sum("n_docs").alias("n"), F.sum("tokens").alias("t"))
     above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     zero = F.lit(0).cast("long")
     later = per_part.select(
         "part",
         F.coalesce(F.sum("n").over(above), zero).alias("later_n"),
         F.coalesce(F.sum("t").over(above), zero).alias("later_t"),
+        F.sum("n").over(whole).alias("all_n"),
+        F.sum("t").over(whole).alias("all_t"),
     )
-    total = per_part.agg(F.sum("n").alias("all_n"), F.sum("t").alias("all_t"))
     longer = Window.partitionBy("part").orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.join(later, "part").join(F.broadcast(total)).select(  # one row
+    sums = rows.join(later, "part").select(
         "length",
         "n_docs",
         (F.coalesce(F.sum("n_docs").over(longer), zero) + F.col("later_n")).alias("docs_longer"),
