@@ -8,11 +8,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from aerostrata.sources import files as stored_files
+from aerostrata.sources import replacing
 from aerostrata.sources.catalog import shared_folder
 
 FLIGHT_CLUSTERING = ["flight_date", "airline_code"]
 CUSTOMER_CLUSTERING = ["country", "segment"]
 ROWS_PER_FILE = 4_000_000
+TARGET_BYTES = 128 << 20
+#: A list of more files is joined without a broadcast (about 200 bytes each).
+MOST_BROADCAST_FILES = 100_000
 
 #: Cells of the z-curve have this many bits in all unless told otherwise, and at most.
 CELL_BITS, MOST_CELL_BITS = 16, 20
@@ -126,28 +131,136 @@ def write_clustered(
     columns: list[str],
     files: int | None = None,
     partition_by: list[str] | None = None,
-) -> None:
-    """Store the rows as a managed table with clustered files."""
-    writer = z_ordered(df, columns, files).write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    metrics: dict[str, Column] | None = None,
+) -> dict:
+    """Store the rows as a managed table with clustered files, replacing the old one safely.
+
+    Gives the number of rows and the values of ``metrics``, taken by the writing job.
+    """
+    return replacing.replace(z_ordered(df, columns, files), table, partition_by, metrics)
 
 
 def recluster(spark: SparkSession, table: str, columns: list[str], files: int | None = None) -> None:
     """Rewrite a stored table clustered; its rows and schema stay the same.
 
-    The new files are written beside the table; then the old table becomes
-    ``<table>_before``, the new one takes the name, and the old one is dropped.  A failure
-    while writing leaves the table as it was and ``<table>_clustered`` to be dropped.  After one
-    between the two renames, ``ALTER TABLE <table>_before RENAME TO <table>`` brings the
-    table back.  Left-over tables of a failed run are never overwritten.
+    A failure at any point leaves the old or the new rows under the table's name, or is mended
+    by ``replacing.recover``.
+    """
+    replacing.recover(spark, table)
+    stored_files.recover(spark, table)
+    by = stored_files.partition_columns(spark, table)
+    write_clustered(spark.table(table), table, columns, files, by)
+
+
+def compact(spark: SparkSession, table: str, target_bytes: int = TARGET_BYTES) -> bool:
+    """Rewrite the small files of a stored table as few of about ``target_bytes``.
+
+    Files of at least half that size are neither read nor touched.  Small ones are packed, those of a
+    partition folder and of neighbouring names together, into bins by their running size; all
+    rows of a bin become one file.  Says whether anything was rewritten.
+    """
+    small = F.col(stored_files.SIZE) < target_bytes // 2
+    folder = F.regexp_replace("file", "[^/]*$", "")
+
+    def packed(rows: DataFrame) -> DataFrame:
+        found = stored_files.files(rows).withColumn("folder", folder)
+        # one row per small file, of a folder at a time
+        running = Window.partitionBy("folder").orderBy("file")
+        bins = found.select(
+            "file",
+            F.struct("folder", F.floor((F.sum("size").over(running) - F.col("size")) / target_bytes)).alias("bin"),
+        )
+        bins = bins.select("file", F.dense_rank().over(Window.orderBy("bin")).alias("_bin"))
+        listed = bins.collect()  # a row per file, as the driver lists them for any scan
+        number = {r.file: r._bin - 1 for r in listed}
+        numbers = spark.createDataFrame(list(number.items()), "_file string, _bin int")
+        if len(number) <= MOST_BROADCAST_FILES:
+            numbers = F.broadcast(numbers)
+        joined = rows.join(numbers, F.col(stored_files.FILE) == F.col("_file"))
+        return joined.repartitionById(max(number.values(), default=0) + 1, F.col("_bin")).drop("_file", "_bin")
+
+    many = stored_files.files(spark.table(table).where(small)).groupBy(folder).count().where("count > 1")
+    return not many.isEmpty() and stored_files.rewrite(spark, table, small, packed)
+
+
+def depths(ranges: DataFrame) -> DataFrame:
+    """How many files can hold a value, at every value where a file's range begins.
+
+    ``ranges`` has ``file``, ``column_name``, ``low`` and ``high``.  A sweep over the ends of the ranges, of which
+    there are two a file: ranges that begin up to a value less those that ended before it.
+    """
+    ends = F.explode(
+        F.array(
+            F.struct(F.col("low").alias("value"), F.lit(1).alias("begun"), F.lit(0).alias("ended")),
+            F.struct(F.col("high").alias("value"), F.lit(0).alias("begun"), F.lit(1).alias("ended")),
+        )
+    )
+    steps = ranges.select("column_name", ends.alias("e")).groupBy("column_name", "e.value")
+    steps = steps.agg(F.sum("e.begun").alias("begun"), F.sum("e.ended").alias("ended"))
+    so_far = Window.partitionBy("column_name").orderBy("value")
+    before = so_far.rowsBetween(Window.unboundedPreceding, -1)
+    depth = F.sum("begun").over(so_far) - F.coalesce(F.sum("ended").over(before), F.lit(0))
+    return steps.select("column_name", "value", "begun", depth.cast("long").alias("depth"))
+
+
+def clustering_depth(ranges: DataFrame) -> DataFrame:
+    """Per column: files, greatest and mean number of files that a range's first value falls into, and overlaps.
+
+    ``overlapping_pairs`` counts the pairs of files whose ranges meet: each of them is found at the
+    later of the two beginnings.
+    """
+    swept = depths(ranges)
+    begun, depth = F.col("begun"), F.col("depth")
+    # ranges that begin at one value meet each other and those that are open already
+    pairs = begun * (depth - begun) + begun * (begun - 1) / 2
+    return swept.groupBy("column_name").agg(
+        F.sum("begun").alias("files"),
+        F.max("depth").alias("max_depth"),
+        F.round(F.sum(begun * depth) / F.sum("begun"), 4).alias("mean_depth"),
+        F.sum(pairs).cast("long").alias("overlapping_pairs"),
+    )
+
+
+def deep_files(ranges: DataFrame, most: int) -> DataFrame:
+    """Files that can hold a value which more than ``most`` files can hold.
+
+    They must do so in every column that has such values; where no column has any, no file is deep.
+    """
+    deep = depths(ranges).where(F.col("depth") > most).select("column_name", "value")
+    columns = [r.column_name for r in deep.select("column_name").distinct().collect()]  # clustering columns
+    no_file = F.lit(None).cast("string").alias("file")
+    point = lambda df, file, value, order, n: df.select(
+        "column_name", file, F.col(value).alias("value"), F.lit(order).alias("order"), F.lit(n).alias("n")
+    )
+    # at one value: ranges begin, deep values are counted, ranges end
+    points = point(deep, no_file, "value", 1, 1)
+    points = points.unionByName(point(ranges, F.col("file"), "low", 0, 0))
+    points = points.unionByName(point(ranges, F.col("file"), "high", 2, 0))
+    so_far = Window.partitionBy("column_name").orderBy("value", "order")
+    counted = points.withColumn("deep", F.sum("n").over(so_far)).where("file IS NOT NULL")
+    inside = counted.groupBy("file", "column_name").agg((F.max("deep") - F.min("deep")).alias("inside"))
+    return (
+        inside.where(F.col("column_name").isin(columns) & (F.col("inside") > 0))
+        .groupBy("file")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") == len(columns))
+        .select("file")
+    )
+
+
+def recluster_deep(
+    spark: SparkSession, table: str, columns: list[str], most: int, at_once: int = 1000, files: int | None = None
+) -> int:
+    """Cluster only the files that overlap most, and give how many were rewritten.
+
+    After an insert of rows that spread over few values only the files of these values and the new ones
+    are read.  At most ``at_once`` files are taken in one call, the first by name; a further
+    call takes the next.
     """
-    staged, old = f"{table}_clustered", f"{table}_before"
-    for name in (staged, old):
-        if spark.catalog.tableExists(name):
-            raise ValueError(f"{name} is left over from a failed run; rename or drop it first")
-    write_clustered(spark.table(table), staged, columns, files)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
+    stored_files.recover(spark, table)
+    found = stored_files.ranges(spark.table(table), columns)
+    chosen = [r.file for r in deep_files(found, most).orderBy("file").limit(at_once).collect()]
+    if len(chosen) > 1:
+        wanted = F.col(stored_files.FILE).isin(chosen)
+        stored_files.rewrite(spark, table, wanted, lambda rows: z_ordered(rows, columns, files or len(chosen)))
+    return len(chosen) if len(chosen) > 1 else 0

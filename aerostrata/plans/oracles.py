@@ -444,10 +444,28 @@ _PARTS: dict[str, tuple[str, str]] = {
     ),
     "silver_flights_by_month": (
         FLIGHTS,
-        """SELECT *, left(flight_date, 7) AS flight_month FROM flights
-        WHERE left(flight_date, 7) BETWEEN '1995-03' AND '1995-08'""",
+        "SELECT *, left(flight_date, 7) AS flight_month FROM flights",
     ),
     "clustered_flights": (FLIGHTS, "SELECT * FROM flights"),
+    "compacted_flights": (FLIGHTS, "SELECT * FROM flights"),
+    "clustering_depth": (
+        FLIGHTS
+        + """, loads AS (
+        SELECT left(flight_date, 4) || left(origin_airport, 1) AS load, min(flight_date) AS d1,
+               max(flight_date) AS d2, min(airline_code) AS a1, max(airline_code) AS a2
+        FROM flights GROUP BY 1
+    ), ranges AS (
+        SELECT 'flight_date' AS column_name, load, d1 AS low, d2 AS high FROM loads
+        UNION ALL SELECT 'airline_code', load, a1, a2 FROM loads
+    ), met AS (
+        SELECT f.column_name, f.load, count(*) FILTER (WHERE g.low <= f.low AND f.low <= g.high) AS depth,
+               count(*) FILTER (WHERE g.load <> f.load AND g.low <= f.high AND f.low <= g.high) AS others
+        FROM ranges f JOIN ranges g USING (column_name) GROUP BY 1, 2
+    )""",
+        """SELECT column_name, count(*) AS files, max(depth) AS max_depth,
+        round(avg(depth), 4) AS mean_depth, CAST(sum(others) / 2 AS BIGINT) AS overlapping_pairs
+        FROM met GROUP BY column_name""",
+    ),
     "customer_segment_detail": (
         STATS,
         """SELECT *,

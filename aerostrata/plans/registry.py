@@ -21,7 +21,7 @@ from aerostrata.operators import (
 )
 from aerostrata.plans import pipeline
 from aerostrata.schemas import Layers
-from aerostrata.sources import bronze, catalog, derived, synthetic
+from aerostrata.sources import bronze, catalog, derived, files, synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,11 +138,31 @@ def _clustered_table(i: Inputs) -> DataFrame:
 
 
 def _months_of_flights(i: Inputs) -> DataFrame:
-    """Half a year of flights from a table with a folder per month."""
+    """All flights, from a table with a folder per month."""
     layers = catalog.scratch_layers(i.spark)
     rows = silver.with_month(i.flights)
-    stored = catalog.replace_table(rows, layers.flights_silver, partition_by=["flight_month"])
-    return stored.where(F.col("flight_month").between("1995-03", "1995-08"))
+    return catalog.replace_table(rows, layers.flights_silver, partition_by=["flight_month"])
+
+
+def _yearly_files(i: Inputs) -> DataFrame:
+    """Flights as they would arrive in loads: a file per year and first letter of the origin."""
+    load = F.concat(F.substring("flight_date", 1, 4), F.lit("-"), F.substring("origin_airport", 1, 1))
+    rows = i.flights.withColumn("load", load).repartition("load")
+    table = f"{catalog.scratch_layers(i.spark).silver}.flight_loads"
+    return catalog.replace_table(rows, table, partition_by=["load"])
+
+
+def _clustering_depth(i: Inputs) -> DataFrame:
+    found = files.ranges(_yearly_files(i), layout.FLIGHT_CLUSTERING)
+    return layout.clustering_depth(found)
+
+
+def _compacted_flights(i: Inputs) -> DataFrame:
+    """Flights as read back after the small files of their table were put together."""
+    table = f"{catalog.scratch_layers(i.spark).silver}.flights_in_small_files"
+    catalog.replace_table(i.flights.repartition(64), table)
+    layout.compact(i.spark, table)
+    return i.spark.table(table)
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -158,6 +178,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "clustered_flights": _clustered_table,
     "silver_flights_by_month": _months_of_flights,
+    "clustering_depth": _clustering_depth,
+    "compacted_flights": _compacted_flights,
     "preview_flights": lambda i: _preview(i.flights, 5),
     "preview_customers": lambda i: _preview(i.customers.select(*silver.CUSTOMER_PREVIEW), 5),
     # silver
@@ -238,7 +260,7 @@ def _registered(build: Callable[[Inputs], DataFrame]) -> Query:
 #: Queries that write tables, and those that measure their input before they lay it out.
 STORING = {
     "table_overwrite_roundtrip", "pii_result_roundtrip", "layer_row_counts", "clustered_flights",
-    "silver_flights_by_month", "view_airline_route_analysis", "view_segment_detail",
+    "silver_flights_by_month", "clustering_depth", "compacted_flights", "view_airline_route_analysis", "view_segment_detail",
     "view_customer_masked",
 }
 MEASURING = {"zorder_flights", "zorder_customers"}

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from aerostrata.schemas import Layers
+from aerostrata.sources import replacing
 
 
 @functools.lru_cache(maxsize=1)
@@ -60,18 +61,17 @@ def drop_databases(spark: SparkSession, layers: Layers) -> None:
 def replace_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
     """Create or replace a managed table, also with another schema; read it back.
 
-    ``partition_by`` gives the values of these columns folders of their own.
+    ``partition_by`` gives the values of these columns folders of their own.  A write that fails leaves
+    the old rows as they were.
     """
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    replacing.replace(df, table, partition_by)
     return df.sparkSession.table(table)
 
 
 def replace_rows(df: DataFrame, table: str) -> DataFrame:
     """Replace the rows of a table whose names and types must stay as they are."""
     spark = df.sparkSession
+    replacing.recover(spark, table)
     if spark.catalog.tableExists(table):
         stored = [(f.name, f.dataType) for f in spark.table(table).schema]
         offered = [(f.name, f.dataType) for f in df.schema]
