@@ -32,20 +32,22 @@ def _late(delay: str = "arr_delay") -> Column:
     return F.col(delay) > LATE_AFTER
 
 
-def flight_delay_kpi(flights: DataFrame) -> DataFrame:
-    """Delay indicators per airline.
+def delay_histogram(flights: DataFrame, *more_keys: str) -> DataFrame:
+    """How often each arrival delay occurs per airline, with the sums that go along.
 
-    The exact median needs how often each delay occurs.  That histogram is
-    built first, by a distributed aggregate in generated code; the percentile
-    then reads counts, its state bounded by the number of different delays.
+    A state of the airline mart: histograms of disjoint sets of flights add up to that of all.
     """
-    histogram = flights.groupBy("airline_code", "arr_delay").agg(
+    return flights.groupBy(*more_keys, "airline_code", "arr_delay").agg(
         F.count("*").alias("n"),
         F.sum("dep_delay").alias("dep_sum"),
         F.count("dep_delay").alias("dep_n"),
         F.sum("distance_miles").alias("dist_sum"),
         F.count("distance_miles").alias("dist_n"),
     )
+
+
+def kpi_of(histogram: DataFrame) -> DataFrame:
+    """Delay indicators per airline from one or more delay histograms."""
     known = F.when(F.col("arr_delay").isNotNull(), F.col("n"))
     delayed = F.coalesce(F.sum(F.when(_late(), F.col("n"))), F.lit(0))
     flown = F.sum("n")
@@ -63,9 +65,22 @@ def flight_delay_kpi(flights: DataFrame) -> DataFrame:
     )
 
 
-def leg_rollup(flights: DataFrame) -> DataFrame:
-    """Counts and sums per airline and directed route; averages come later."""
-    return flights.groupBy(*ROUTE_KEYS, "airline_code").agg(
+def flight_delay_kpi(flights: DataFrame) -> DataFrame:
+    """Delay indicators per airline.
+
+    The exact median needs how often each delay occurs.  That histogram is
+    built first, by a distributed aggregate in generated code; the percentile
+    then reads counts, its state bounded by the number of different delays.
+    """
+    return kpi_of(delay_histogram(flights))
+
+
+def leg_rollup(flights: DataFrame, *more_keys: str) -> DataFrame:
+    """Counts and sums per airline and directed route; averages come later.
+
+    A state of everything about routes: roll-ups of disjoint sets of flights add up (``merged_legs``).
+    """
+    return flights.groupBy(*more_keys, *ROUTE_KEYS, "airline_code").agg(
         F.count("*").alias("flights"),
         F.sum("arr_delay").alias("arr_sum"),
         F.count("arr_delay").alias("arr_n"),
@@ -77,6 +92,13 @@ def leg_rollup(flights: DataFrame) -> DataFrame:
     )
 
 
+def merged_legs(legs: DataFrame) -> DataFrame:
+    """One leg roll-up from several."""
+    keys = [*ROUTE_KEYS, "airline_code"]
+    sums = ["flights", "arr_sum", "arr_n", "dep_sum", "dep_n", "dist_sum", "dist_n", "delayed"]
+    return legs.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def route_performance(legs: DataFrame, min_flights: int = MIN_ROUTE_FLIGHTS) -> DataFrame:
     """Performance per directed route with at least ``min_flights`` flights."""
     return (

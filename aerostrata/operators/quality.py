@@ -78,6 +78,56 @@ def silver_customers(customers: DataFrame) -> DataFrame:
     )
 
 
+def _kinds_on_the_way(column: str) -> Column:
+    """The number of kinds as an aggregate that a write can take; for columns of few codes only."""
+    nulls = F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
+    return (F.size(F.collect_set(column)) + nulls).cast("long")
+
+
+def _missing(column: str) -> Column:
+    return F.count_if(F.col(column).isNull())
+
+
+def on_the_way(table: str) -> dict[str, Column]:
+    """The figures of a table's audit that its writing job takes on its way.
+
+    Numbers of different customer ids are not among them: ids are as many as the rows and need a shuffle.
+    """
+    figures = {
+        "flights_raw": {
+            "min_flight_date": F.min("flight_date"),
+            "max_flight_date": F.max("flight_date"),
+            "unique_airlines": _kinds_on_the_way("airline"),
+            "unique_airports": _kinds_on_the_way("origin"),
+        },
+        "customer_raw": {"countries": _kinds_on_the_way("country"), "segments": _kinds_on_the_way("segment")},
+        "flights_silver": {
+            "null_arr_delay": _missing("arr_delay"),
+            "null_dep_delay": _missing("dep_delay"),
+            "invalid_dates": _missing("flight_date"),
+        },
+        "customer_silver": {"null_emails": _missing("email"), "null_phones": _missing("phone")},
+    }
+    return figures[table]
+
+
+def customer_ids(customers: DataFrame, figure: str) -> int:
+    """Different ids (null as one), or ids that occur more than once: a scan of the id column alone."""
+    ids = customers.groupBy("customer_id").agg(F.count("*").alias("n"))
+    repeated = F.count_if(F.col("n") > 1)
+    return ids.agg(repeated if figure == "duplicate_customer_ids" else F.count("*")).first()[0]
+
+
+def audits(spark: SparkSession, found: dict[str, dict]) -> DataFrame:
+    """``table_name``, ``metric`` and ``value`` (as text) of what the writing jobs found."""
+    rows = [
+        (table, "total_records" if metric == "rows" else metric, None if value is None else str(value))
+        for table, metrics in found.items()
+        for metric, value in metrics.items()
+    ]
+    return spark.createDataFrame(rows, "table_name string, metric string, value string")
+
+
 def layer_row_counts(spark: SparkSession, layers: Layers) -> DataFrame:
     """Rows of every stored table by layer; NULL where the table is absent."""
 

@@ -317,6 +317,35 @@ _SCAN = {
 }
 
 
+def _audits() -> str:
+    """Audit figures in long form, as text."""
+    figures = {
+        ("flights_raw", "flights_raw"): {
+            "total_records": "count(*)", "min_flight_date": "min(flight_date)", "max_flight_date": "max(flight_date)",
+            "unique_airlines": _kinds("airline"), "unique_airports": _kinds("origin"),
+        },
+        ("customer_raw", "customer_raw"): {
+            "total_records": "count(*)", "unique_customers": _kinds("customer_id"),
+            "countries": _kinds("country"), "segments": _kinds("segment"),
+        },
+        ("flights_silver", "flights"): {
+            "total_records": "count(*)", "null_arr_delay": "count(*) - count(arr_delay)",
+            "null_dep_delay": "count(*) - count(dep_delay)", "invalid_dates": "count(*) - count(flight_date)",
+        },
+        ("customer_silver", "customers"): {
+            "total_records": "count(*)", "null_emails": "count(*) - count(email)",
+            "null_phones": "count(*) - count(phone)",
+            "duplicate_customer_ids": "max((SELECT count(*) FROM (SELECT 1 FROM customers GROUP BY customer_id "
+            "HAVING count(*) > 1)))",
+        },
+    }
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{metric}' AS metric, CAST({figure} AS VARCHAR) AS value FROM {source}"
+        for (table, source), metrics in figures.items()
+        for metric, figure in metrics.items()
+    )
+
+
 def _text_scan() -> str:
     hits = ", ".join(f"len({found}) AS {kind}" for kind, found in _SCAN.items())
     rows = " UNION ALL ".join(
@@ -383,6 +412,20 @@ _PARTS: dict[str, tuple[str, str]] = {
         (SELECT count(*) FROM (SELECT 1 FROM customers GROUP BY customer_id HAVING count(*) > 1))
           AS duplicate_customer_ids FROM customers""",
     ),
+    "load_audits": (f"{FLIGHTS}, {CUSTOMERS.strip()}", _audits()),
+    "rejected_rows": (
+        f"{FLIGHTS}, {CUSTOMERS.strip()}",
+        """SELECT 'flights' AS table_name, 'flight_date is missing' AS reason, count(*) AS "rows"
+        FROM flights_raw WHERE flight_date IS NULL
+        UNION ALL SELECT 'flights', 'airline is missing', count(*) FROM flights_raw WHERE airline IS NULL
+        UNION ALL SELECT 'flights', 'origin is missing', count(*) FROM flights_raw WHERE origin IS NULL
+        UNION ALL SELECT 'flights', 'dest is missing', count(*) FROM flights_raw WHERE dest IS NULL
+        UNION ALL SELECT 'flights', 'kept', count(*) FROM flights
+        UNION ALL SELECT 'flights', 'rejected', (SELECT count(*) FROM flights_raw) - (SELECT count(*) FROM flights)
+        UNION ALL SELECT 'customers', 'customer_id is missing', count(*) FROM customer_raw WHERE customer_id IS NULL
+        UNION ALL SELECT 'customers', 'kept', count(*) FROM customers
+        UNION ALL SELECT 'customers', 'rejected', (SELECT count(*) FROM customer_raw) - (SELECT count(*) FROM customers)""",
+    ),
     "layer_row_counts": (f"{FLIGHTS}, {CUSTOMERS.strip()}", _LAYER_COUNTS),
     "stats_flights": (
         FLIGHTS,
@@ -411,6 +454,8 @@ _PARTS: dict[str, tuple[str, str]] = {
         "FROM flights GROUP BY airline_code ORDER BY avg_delay DESC NULLS LAST, airline_code",
     ),
     "flight_delay_kpi": (KPI, f"SELECT {_KPI_COLUMNS} FROM kpi"),
+    "kpi_from_months": (KPI, f"SELECT {_KPI_COLUMNS} FROM kpi"),
+    "routes_from_months": (ROUTES, f"SELECT {_ROUTE_COLUMNS} FROM routes"),
     "route_performance": (ROUTES, f"SELECT {_ROUTE_COLUMNS} FROM routes"),
     "customer_segment_stats": (STATS, "SELECT * FROM stats"),
     "segment_totals": (

@@ -15,11 +15,12 @@ from aerostrata.operators import (
     insights,
     layout,
     quality,
+    rejects,
     silver,
     statistics,
     views,
 )
-from aerostrata.plans import pipeline
+from aerostrata.plans import monthly, pipeline
 from aerostrata.schemas import Layers
 from aerostrata.sources import bronze, catalog, derived, files, synthetic
 
@@ -137,13 +138,45 @@ def _clustered_table(i: Inputs) -> DataFrame:
     return i.spark.table(layers.flights_silver)
 
 
-def _months_of_flights(i: Inputs) -> DataFrame:
+def _stored_months(i: Inputs, layers: Layers) -> DataFrame:
     """All flights, from a table with a folder per month."""
-    layers = catalog.scratch_layers(i.spark)
     rows = silver.with_month(i.flights)
     return catalog.replace_table(rows, layers.flights_silver, partition_by=["flight_month"])
 
 
+def _monthly_states(i: Inputs) -> Layers:
+    """States of all months but the last, and then of the last one added to them."""
+    layers = catalog.scratch_layers(i.spark)
+    flights = _stored_months(i, layers)
+    last = flights.agg(F.max(monthly.MONTH)).first()[0]
+    monthly.rebuild(flights.where(F.col(monthly.MONTH) < F.lit(last)), layers)
+    monthly.update(flights, layers, [last] if last else [])
+    return layers
+
+
+def _load_audits(i: Inputs) -> DataFrame:
+    """The audit figures that the jobs writing Bronze and Silver took on their way."""
+    layers = catalog.scratch_layers(i.spark)
+    found = pipeline.load_bronze(i.flights_raw, i.customer_raw, layers)
+    return pipeline.audit_loads(i.spark, layers, found | pipeline.build_silver(i.spark, layers, clustered=False))
+
+
+def _rejected_rows(i: Inputs) -> DataFrame:
+    """What the cleaning of both tables does not keep, by reason, beside what it read and kept."""
+    layers = catalog.scratch_layers(i.spark)
+    out = []
+    for name, df, keys in (
+        ("flights", i.flights_raw, ["flight_date", "airline", "origin", "dest"]),
+        ("customers", i.customer_raw, ["customer_id"]),
+    ):
+        rules = rejects.missing(keys)
+        kept, rejected = rejects.split(df, rules, f"{layers.raw}.{name}_judged")
+        n = lambda df, label: df.agg(F.lit(label).alias("reason"), F.count("*").alias("rows"))
+        counts = rejects.reason_counts(rejected, rules).unionByName(n(kept, "kept")).unionByName(n(rejected, "rejected"))
+        out.append(counts.select(F.lit(name).alias("table_name"), "reason", "rows"))
+    return out[0].unionByName(out[1])
+
+
 def _yearly_files(i: Inputs) -> DataFrame:
     """Flights as they would arrive in loads: a file per year and first letter of the origin."""
     load = F.concat(F.substring("flight_date", 1, 4), F.lit("-"), F.substring("origin_airport", 1, 1))
@@ -177,7 +210,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         _stored(i, i.customers, "customers"), layout.CUSTOMER_CLUSTERING
     ),
     "clustered_flights": _clustered_table,
-    "silver_flights_by_month": _months_of_flights,
+    "silver_flights_by_month": lambda i: _stored_months(i, catalog.scratch_layers(i.spark)),
     "clustering_depth": _clustering_depth,
     "compacted_flights": _compacted_flights,
     "preview_flights": lambda i: _preview(i.flights, 5),
@@ -190,6 +223,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_bronze_customers": lambda i: quality.bronze_customers(i.customer_raw),
     "dq_silver_flights": lambda i: quality.silver_flights(i.flights),
     "dq_silver_customers": lambda i: quality.silver_customers(i.customers),
+    "load_audits": _load_audits,
+    "rejected_rows": _rejected_rows,
     "layer_row_counts": lambda i: quality.layer_row_counts(i.spark, _stored_environment(i)),
     # silver statistics
     "stats_flights": lambda i: statistics.flight_metrics(i.legs),
@@ -204,6 +239,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "overall_totals": lambda i: gold.overall_totals(i.kpi),
     "best_worst_airline": lambda i: insights.best_worst_airline(i.kpi),
     "busiest_route": lambda i: insights.busiest_route(i.routes),
+    "kpi_from_months": lambda i: monthly.kpi(i.spark, _monthly_states(i)),
+    "routes_from_months": lambda i: gold.route_performance(monthly.legs(i.spark, _monthly_states(i))),
     # views and previews
     "airline_route_analysis": lambda i: views.airline_route_analysis(i.legs),
     "customer_segment_detail": lambda i: views.customer_segment_detail(i.stats),
@@ -260,7 +297,8 @@ def _registered(build: Callable[[Inputs], DataFrame]) -> Query:
 #: Queries that write tables, and those that measure their input before they lay it out.
 STORING = {
     "table_overwrite_roundtrip", "pii_result_roundtrip", "layer_row_counts", "clustered_flights",
-    "silver_flights_by_month", "clustering_depth", "compacted_flights", "view_airline_route_analysis", "view_segment_detail",
+    "silver_flights_by_month", "clustering_depth", "compacted_flights",
+    "kpi_from_months", "routes_from_months", "load_audits", "rejected_rows", "view_airline_route_analysis", "view_segment_detail",
     "view_customer_masked",
 }
 MEASURING = {"zorder_flights", "zorder_customers"}

@@ -118,6 +118,30 @@ class Layers:
     def flight_legs(self) -> str:
         return f"{self.mart}.flight_legs"
 
+    @property
+    def delay_states(self) -> str:
+        return f"{self.mart}.delay_states"
+
+    @property
+    def leg_states(self) -> str:
+        return f"{self.mart}.leg_states"
+
+    @property
+    def customer_states(self) -> str:
+        return f"{self.mart}.customer_states"
+
+    @property
+    def load_audits(self) -> str:
+        return f"{self.meta}.load_audits"
+
+    @property
+    def flights_rejected(self) -> str:
+        return f"{self.raw}.flights_rejected"
+
+    @property
+    def customer_rejected(self) -> str:
+        return f"{self.raw}.customer_rejected"
+
     @property
     def airline_route_analysis(self) -> str:
         return f"{self.mart}.airline_route_analysis"

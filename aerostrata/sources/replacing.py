@@ -24,6 +24,7 @@ One writer at a time may replace a table.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
@@ -106,11 +107,18 @@ def replace(
 _LISTED = "spark.sql.hive.manageFilesourcePartitions"
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """A session setting for the time of one write."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _saved(spark: SparkSession, writer: DataFrameWriter, table: str) -> None:
     """Store a table whose partitions are found by their folders, wherever these are moved."""
-    before = spark.conf.get(_LISTED)
-    spark.conf.set(_LISTED, "false")
-    try:
+    with setting(spark, _LISTED, "false"):
         writer.saveAsTable(table)
-    finally:
-        spark.conf.set(_LISTED, before)

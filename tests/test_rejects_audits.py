@@ -1,0 +1,83 @@
+"""Rejected rows with their reasons, and audit figures from writing jobs."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from aerostrata.operators import quality, rejects
+from aerostrata.plans import pipeline, registry
+from aerostrata.schemas import FLIGHTS_RAW, Layers
+from aerostrata.sources import catalog
+from tests.conftest import SMALL
+
+
+@pytest.fixture
+def layers(spark, tmp_path):
+    layers = Layers(env=f"j{abs(hash(str(tmp_path)))}")
+    catalog.create_databases(spark, layers, str(tmp_path))
+    yield layers
+    catalog.drop_databases(spark, layers)
+
+
+def test_kept_and_rejected_are_all_rows(spark, layers):
+    rows = [(1, "a"), (None, "b"), (3, None), (None, None), (5, "e")]
+    df = spark.createDataFrame(rows, "k int, v string")
+    rules = rejects.missing(["k", "v"]) | {"k is five": F.col("k") == 5}
+    kept, rejected = rejects.split(df, rules, f"{layers.raw}.t")
+    assert [tuple(r) for r in kept.collect()] == [(1, "a")] and kept.columns == df.columns
+    found = {(r.k, r.v): r.why for r in rejected.select("k", "v", rejects.reasons(rules).alias("why")).collect()}
+    assert found == {
+        (None, "b"): ["k is missing"], (3, None): ["v is missing"],
+        (None, None): ["k is missing", "v is missing"], (5, "e"): ["k is five"],
+    }
+    counts = {r.reason: r.rows for r in rejects.reason_counts(rejected, rules).collect()}
+    assert counts == {"k is missing": 2, "v is missing": 2, "k is five": 1}
+
+
+def test_no_rows_and_no_rules(spark, layers):
+    df = spark.createDataFrame([], "k int")
+    kept, rejected = rejects.split(df, rejects.missing(["k"]), f"{layers.raw}.t")
+    assert kept.count() == rejected.count() == 0
+    assert rejects.reason_counts(rejected, rejects.missing(["k"])).collect() == [("k is missing", 0)]
+    kept, rejected = rejects.split(spark.range(3), {}, f"{layers.raw}.u")
+    assert kept.count() == 3 and rejected.count() == 0
+    with pytest.raises(ValueError, match="bits"):
+        rejects.judged(spark.range(1), {str(i): F.lit(True) for i in range(63)})
+
+
+def test_a_bad_value_no_longer_fails_the_load(spark, layers, make_flights, make_customers):
+    flights = make_flights({"distance": 500}, {"distance": 7}).withColumn(
+        "distance", F.when(F.col("distance") == 7, "far").otherwise(F.col("distance").cast("string"))
+    )
+    rules = pipeline.load_bronze_with_rejects(flights, make_customers({}), layers)
+    assert spark.table(layers.flights_raw).schema == FLIGHTS_RAW
+    assert [r.distance for r in spark.table(layers.flights_raw).collect()] == [500]
+    rejected = spark.table(layers.flights_rejected)
+    why = rejected.select("distance", rejects.reasons(rules[layers.flights_raw]).alias("why")).collect()
+    assert why == [("far", ["distance is no int"])]
+    assert spark.table(layers.customer_raw).count() == 1 and spark.table(layers.customer_rejected).count() == 0
+
+
+def test_audits_equal_the_audit_queries(spark, layers):
+    """The figures from the writing jobs are those of scans of the stored tables, clustered or not."""
+    inputs = registry.Inputs(spark, SMALL)
+    found = pipeline.load_bronze(inputs.flights_raw, inputs.customer_raw, layers)
+    found |= pipeline.build_silver(spark, layers, flight_files=3, customer_files=1)
+    stored = pipeline.audit_loads(spark, layers, found)
+    values = {(r.table_name, r.metric): r.value for r in stored.collect()}
+    scans = {
+        "flights_raw": quality.bronze_flights, "customer_raw": quality.bronze_customers,
+        "flights_silver": quality.silver_flights, "customer_silver": quality.silver_customers,
+    }
+    for table, scan in scans.items():
+        row = scan(spark.table(getattr(layers, table))).first().asDict()
+        assert {m: v for (t, m), v in values.items() if t == table} == {m: str(v) for m, v in row.items()}
+
+
+def test_audits_of_empty_tables(spark, layers, make_flights, make_customers):
+    found = pipeline.load_bronze(make_flights(), make_customers(), layers)
+    found |= pipeline.build_silver(spark, layers, clustered=False)
+    values = {(r.table_name, r.metric): r.value for r in pipeline.audit_loads(spark, layers, found).collect()}
+    assert values["flights_raw", "total_records"] == "0" and values["flights_raw", "min_flight_date"] is None
+    assert values["customer_raw", "unique_customers"] == "0"
