@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostrata.functions import personal_data as P
@@ -108,6 +108,28 @@ def discrepancy_sample(detected: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
+def discrepancy_class(detected: DataFrame) -> DataFrame:
+    """Records that disagree on e-mail, phone or passport, with the list of what they disagree on."""
+    named = F.concat_ws(",", *[F.when(~_agrees(kind), kind) for kind in CHECKED])
+    return detected.withColumn("differs_on", named).where(F.col("differs_on") != "")
+
+
+def fair_discrepancy_sample(detected: DataFrame, k: int = 5, key: str = "review") -> DataFrame:
+    """``k`` records of every class of disagreement, each as likely as any other of its class.
+
+    Records are ordered by a hash of ``key`` and their identity, so every run draws the same ones and another
+    key draws others.  Only the ``k`` smallest of a class in each task are shuffled, as the
+    rank filter is applied before the exchange as well.
+    """
+    shown = ["email_pii_type", "ai_email_type", "phone_pii_type", "ai_phone_type", "passport_pii_type", "ai_passport_type"]
+    identity = [F.coalesce(F.col(c), F.lit("")) for c in _IDENTITY]
+    drawn = F.sha2(F.concat_ws("\x1f", F.lit(key), *identity), 256)
+    ranked = discrepancy_class(detected).select("differs_on", drawn.alias("draw"), "customer_id", *shown)
+    within = Window.partitionBy("differs_on").orderBy("draw", "customer_id")
+    place = F.row_number().over(within)
+    return ranked.withColumn("place", place).where(F.col("place") <= k).drop("draw")
+
+
 def masked_customers(customers: DataFrame) -> DataFrame:
     return customers.select(
         "customer_id",

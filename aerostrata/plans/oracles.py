@@ -584,6 +584,17 @@ _PARTS: dict[str, tuple[str, str]] = {
         """SELECT customer_id, email_pii_type, ai_email_type, phone_pii_type, ai_phone_type
         FROM agreement WHERE NOT e OR NOT p ORDER BY ALL LIMIT 5""",
     ),
+    "fair_discrepancy_sample": (
+        PII,
+        """SELECT differs_on, customer_id, email_pii_type, ai_email_type, phone_pii_type, ai_phone_type,
+        passport_pii_type, ai_passport_type, CAST(place AS INTEGER) AS place
+        FROM (SELECT *, row_number() OVER (PARTITION BY differs_on ORDER BY draw, customer_id) AS place FROM (
+            SELECT *, concat_ws(',', CASE WHEN NOT e THEN 'email' END, CASE WHEN NOT p THEN 'phone' END,
+                                CASE WHEN NOT d THEN 'passport' END) AS differs_on,
+                   sha256(concat_ws(chr(31), 'review', coalesce(customer_id, ''), coalesce(full_name, ''),
+                          coalesce(email, ''), coalesce(phone, ''), coalesce(passport_no, ''))) AS draw
+            FROM agreement) WHERE differs_on <> '') WHERE place <= 5""",
+    ),
     "customer_masked_readme": (
         CUSTOMERS,
         r"""SELECT customer_id,
@@ -709,6 +720,9 @@ def oracle_sql() -> dict[str, str]:
     built["synth_flights"] = f"WITH {SYNTH_FLIGHTS.strip()}"
     built["synth_customers"] = f"WITH {SYNTH_CUSTOMERS.strip()}"
     built["pii_text_scan"] = _text_scan()
+    built["price_quantiles"] = """SELECT l_returnflag, l_linestatus,
+        round(quantile_cont(l_extendedprice, 0.5), 4) AS median_price
+        FROM lineitem GROUP BY l_returnflag, l_linestatus"""
     # the stored views show what the operators give
     built["view_airline_route_analysis"] = built["airline_route_analysis"]
     built["view_segment_detail"] = built["customer_segment_detail"]

@@ -15,6 +15,7 @@ from aerostrata.operators import (
     insights,
     layout,
     quality,
+    quantiles,
     rejects,
     silver,
     statistics,
@@ -177,6 +178,13 @@ def _rejected_rows(i: Inputs) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+def _price_quantiles(i: Inputs) -> DataFrame:
+    """Exact median price per kind of line item; nearly every line has a price of its own."""
+    lines = i.parquet("lineitem", "l_returnflag string, l_linestatus string, l_extendedprice double")
+    found = quantiles.exact_quantiles(lines, ["l_returnflag", "l_linestatus"], "l_extendedprice")
+    return found.select("l_returnflag", "l_linestatus", F.round("quantile", 4).alias("median_price"))
+
+
 def _yearly_files(i: Inputs) -> DataFrame:
     """Flights as they would arrive in loads: a file per year and first letter of the origin."""
     load = F.concat(F.substring("flight_date", 1, 4), F.lit("-"), F.substring("origin_airport", 1, 1))
@@ -241,6 +249,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "busiest_route": lambda i: insights.busiest_route(i.routes),
     "kpi_from_months": lambda i: monthly.kpi(i.spark, _monthly_states(i)),
     "routes_from_months": lambda i: gold.route_performance(monthly.legs(i.spark, _monthly_states(i))),
+    "price_quantiles": _price_quantiles,
     # views and previews
     "airline_route_analysis": lambda i: views.airline_route_analysis(i.legs),
     "customer_segment_detail": lambda i: views.customer_segment_detail(i.stats),
@@ -265,6 +274,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "pii_type_distribution": lambda i: governance.type_distribution(i.detected),
     "pii_discrepancy_count": lambda i: governance.discrepancy_count(i.detected),
     "pii_discrepancy_sample": lambda i: governance.discrepancy_sample(i.detected),
+    "fair_discrepancy_sample": lambda i: governance.fair_discrepancy_sample(i.detected),
     "customer_masked_readme": lambda i: governance.masked_customers_documented(i.customers),
     "pii_text_scan": lambda i: governance.text_scan(i.parquet("documents", "lang string, text string")),
     # business questions
@@ -298,8 +308,8 @@ def _registered(build: Callable[[Inputs], DataFrame]) -> Query:
 STORING = {
     "table_overwrite_roundtrip", "pii_result_roundtrip", "layer_row_counts", "clustered_flights",
     "silver_flights_by_month", "clustering_depth", "compacted_flights",
-    "kpi_from_months", "routes_from_months", "load_audits", "rejected_rows", "view_airline_route_analysis", "view_segment_detail",
-    "view_customer_masked",
+    "kpi_from_months", "routes_from_months", "load_audits", "rejected_rows", "price_quantiles",
+    "view_airline_route_analysis", "view_segment_detail", "view_customer_masked",
 }
 MEASURING = {"zorder_flights", "zorder_customers"}
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, example, given, settings
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from aerostrata.functions import personal_data as P
 from aerostrata.operators import governance, silver
+from aerostrata.plans import registry
+from tests.conftest import DATA
 
 SLOW = settings(
     max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -304,3 +307,18 @@ def test_text_scan_counts_texts_and_hits(spark):
     assert len(rows) == 10
     assert rows["en", "EMAIL"] == (2, 1, 2) and rows["fr", "PHONE"] == (1, 1, 1)
     assert rows["en", "CARD"] == (2, 0, 0)
+
+
+def test_fair_sample_has_every_class_and_is_repeatable(spark):
+    detected = registry.Inputs(spark, DATA).detected
+    classes = governance.discrepancy_class(detected).groupBy("differs_on").count().collect()
+    sample = governance.fair_discrepancy_sample(detected, k=3).collect()
+    drawn = Counter(r.differs_on for r in sample)
+    assert drawn == {r.differs_on: min(3, r["count"]) for r in classes} and len(drawn) >= 3
+    again = governance.fair_discrepancy_sample(detected.repartition(5), k=3).collect()
+    assert sorted(map(str, again)) == sorted(map(str, sample))
+    other = governance.fair_discrepancy_sample(detected, k=3, key="another").collect()
+    assert {r.customer_id for r in other} != {r.customer_id for r in sample}
+    # the few of each task are chosen before the shuffle
+    plan = governance.fair_discrepancy_sample(detected)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
