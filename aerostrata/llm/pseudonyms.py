@@ -15,19 +15,25 @@ Blanks, dashes and brackets of numbers are no slots; the result is put back amon
 kind        validation; what is permuted
 ==========  =================================================================
 email       local part and domain by shape; letters and digits of the local part
-iban        13 to 34 characters, remainder 1 by 97; the account part, check digits anew
-card        13 to 19 digits, Luhn; all but the last digit, which is computed anew
+iban        length of its country, remainder 1 by 97; the account part, check digits anew
+card        13 to 19 digits at once or in groups, Luhn; all but the last digit, which is computed anew
 ssn         area, group and serial in their ranges; all three within these ranges
 ip          four octets up to 255; the octets
-date        a day of the calendar from 1800 to 2199; the day
+date        a day of the calendar from 1800 to 2199, year first; the day
 phone       7 to 15 digits with a country code, or ten in groups; the national digits
 secret      16 or more hexadecimal digits named as token, key, secret or password
 ==========  =================================================================
 
-Everything is column expressions: each text is read once and nothing is shuffled.
+Cards and accounts often stand among other numbers and words (an expiry date, a code, a second
+account).  They are looked for in whole runs of groups: every stretch of groups that passes the validation
+is replaced, the longest from each group on, wherever in the run it begins and ends.
 
-Defined cases: a null text stays null; a text without private values stays as it is;
-a value that fails its validation stays; repeated rows are treated alike; other
+Everything is column expressions: each text is read once and nothing is shuffled.  Dates in other orders
+or with names of months, IPv6 addresses and the domains of e-mail addresses are left as they are.
+
+Defined cases: a null text stays null; an empty text or one without private values stays as it is;
+a value that fails its validation stays; repeated rows are treated alike; where two valid stretches overlap
+the one that begins first counts; an empty table gives no rows; other
 columns are kept, whatever their names.
 """
 
@@ -54,7 +60,10 @@ SHAPES: list[tuple[str, str]] = [
         "secret",
         r"(?i:token|key|secret|password)[\"']? {0,3}[=:] {0,3}[\"']?[0-9A-Fa-f]{16,}+(?![0-9A-Za-z])",
     ),
-    ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){9,30}+(?![0-9A-Za-z])"),
+    (
+        "iban",
+        r"(?<![0-9A-Za-z])(?=[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11})[A-Z0-9]++(?![a-z])(?: [A-Z0-9]++(?![a-z])){0,200}+",
+    ),
     ("ip", r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"),
     ("date", r"(?<![0-9A-Za-z/-])[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}(?:(?=[Tt][0-9]{2}:?[0-9]{2})|(?![0-9A-Za-z/-]))"),
     ("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])"),
@@ -64,10 +73,22 @@ SHAPES: list[tuple[str, str]] = [
         r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\2[0-9]{4})"
         r"(?![0-9A-Za-z]|[.-][0-9])",
     ),
-    ("card", r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[ -][0-9])"),
+    (
+        "card",
+        r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])(?:[ -][0-9]++(?![A-Za-z])){0,200}+",
+    ),
 ]
+#: Digits of a card stand together or in groups; lists of short numbers are none.
+CARD_GROUPS = "^(?:[0-9]{13,19}|[0-9]{3,7}(?:[ -][0-9]{3,7}){1,5})$"
 #: Country codes end by themselves, whatever separates them: 1, 7, those of two digits, or three.
 COUNTRY_CODE = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+# Characters of an IBAN by country.
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 "
+    "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 "
+    "LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 "
+    "SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+)
 PATTERN = "|".join(f"(?:{shape})" for _, shape in SHAPES)
 
 
@@ -166,17 +187,51 @@ def _luhn_sum(digits: Column, doubled_first: bool) -> Column:
     )
 
 
-def _card(hit: Column, key: str) -> Column:
-    digits = _digits(hit)
-    payload = F.substring(digits, F.lit(1), F.length(digits) - 1)
+def _within(run: Column, separator: str, most: int, valid: Callable[[Column], Column], new: Callable[[Column], Column]) -> Column:
+    """A run of groups in which every stretch of whole groups that is valid is replaced.
+
+    From each group on the longest valid stretch of up to ``most`` groups counts, and the search goes on
+    behind it, so a value is found whatever groups stand before and after it.
+    """
+
+    def replaced(parts: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            stretch = lambda j: F.array_join(F.slice(parts, i + 1, j - i + 1), "")
+            last = F.least(F.size(parts) - 1, i + 2 * most - 2)
+            ends = F.filter(F.reverse(F.sequence(i, last)), lambda j: ((j - i) % 2 == 0) & valid(stretch(j)))
+
+            def on(end: Column) -> Column:
+                shown = F.when(end.isNull(), F.get(parts, i)).otherwise(new(stretch(end)))
+                return F.struct(
+                    F.concat(state["done"], shown).alias("done"), (F.coalesce(end, i) + 1).cast("int").alias("next")
+                )
 
-    def checked(moved: Column) -> Column:
-        check = (10 - _luhn_sum(moved, True) % 10) % 10
-        return F.concat(moved, check.cast("string"))
+            # separators stand at odd places
+            found = _let(F.when(i % 2 == 0, F.get(ends, F.lit(0))), on)
+            return F.when(i < state["next"], state).otherwise(found)
 
-    new = _let(_permute_characters(payload, key, "card"), checked)
-    permuted = _let(new, lambda x: _laid_out(hit, x))
-    return F.when(_luhn_sum(digits, False) % 10 == 0, permuted).otherwise(hit)
+        start = F.struct(F.lit("").alias("done"), F.lit(0).alias("next"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(parts) - 1), start, step, lambda state: state["done"])
+
+    return _let(F.split(run, f"(?<={separator})|(?={separator})"), replaced)
+
+
+def _card(run: Column, key: str) -> Column:
+    def valid(text: Column) -> Column:
+        digits = _digits(text)
+        shaped = text.rlike(CARD_GROUPS) & F.length(digits).between(13, 19)
+        return F.when(shaped, _luhn_sum(digits, False) % 10 == 0).otherwise(False)
+
+    def new(hit: Column) -> Column:
+        def checked(moved: Column) -> Column:
+            check = (10 - _luhn_sum(moved, True) % 10) % 10
+            return F.concat(moved, check.cast("string"))
+
+        digits = _digits(hit)
+        payload = F.substring(digits, F.lit(1), F.length(digits) - 1)
+        return _let(_let(_permute_characters(payload, key, "card"), checked), lambda x: _laid_out(hit, x))
+
+    return _within(run, "[ -]", 6, valid, new)
 
 
 def _mod97(text: Column) -> Column:
@@ -189,17 +244,26 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(_characters(text), F.lit(0), step)
 
 
-def _iban(hit: Column, key: str) -> Column:
-    def renewed(account: Column) -> Column:
-        country = F.substring(hit, 1, 2)
-        rest = _mod97(F.concat(account, country, F.lit("00")))
-        return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), account)
+def _iban(run: Column, key: str) -> Column:
+    lengths = F.create_map(*[F.lit(x) for entry in IBAN_LENGTHS.split() for x in (entry[:2], int(entry[2:]))])
+
+    def valid(text: Column) -> Column:
+        compact = F.regexp_replace(text, " ", "")
+        body = F.concat(F.substring(compact, F.lit(5), F.length(compact)), F.substring(compact, 1, 4))
+        whole = F.length(compact) == F.coalesce(lengths[F.substring(compact, 1, 2)], F.lit(0))
+        return F.when(whole & compact.rlike("^[A-Z]{2}[0-9]{2}"), _mod97(body) == 1).otherwise(False)
+
+    def new(hit: Column) -> Column:
+        def renewed(account: Column) -> Column:
+            country = F.substring(hit, 1, 2)
+            rest = _mod97(F.concat(account, country, F.lit("00")))
+            return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), account)
+
+        compact = F.regexp_replace(hit, " ", "")
+        account = F.substring(compact, F.lit(5), F.length(compact))
+        return _let(_let(_permute_characters(account, key, "iban"), renewed), lambda x: _laid_out(hit, x))
 
-    compact = F.regexp_replace(hit, " ", "")
-    body = F.concat(F.substring(compact, F.lit(5), F.length(compact)), F.substring(compact, 1, 4))
-    account = F.substring(compact, F.lit(5), F.length(compact))
-    new = _let(_permute_characters(account, key, "iban"), renewed)
-    return F.when(_mod97(body) == 1, _let(new, lambda x: _laid_out(hit, x))).otherwise(hit)
+    return _within(run, " ", 16, valid, new)
 
 
 def _numbers(text: Column, separator: str) -> Column:

@@ -12,6 +12,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from aerostrata.llm import licences, pseudonyms, quality_rules
+from tests.conftest import SMALL
 
 KEY = "k"
 
@@ -98,6 +99,60 @@ def test_values_keep_their_format(replace):
     assert mod97(iban[4:] + iban[:4]) == 1
 
 
+def test_values_among_other_words_are_found(replace):
+    """Cards and accounts between dates, codes, words and each other, as a scan of all stretches finds them."""
+    card, spaced, iban = "4111111111111111", "5500 0000 0000 0004", "DE89 3704 0044 0532 0130 00"
+    amex = "378282246310005"
+    texts = [
+        f"{spaced} 12/27", f"{card} 123", f"{iban} AND BIC", "DE89370400440532013000 2024", f"123 {card} 45 {spaced} 6",
+        f"{iban} GB82 WEST 1234 5698 7654 32 OK", f"{amex} {amex}", f"No 7 {spaced}-99", f"{iban} Only", f"12-{card}-34",
+        "1 " * 300 + card + " 2" * 300,
+    ]
+    for text, (new, n) in zip(texts, replace(*texts), strict=True):
+        kept = re.sub(r"[0-9A-Z]", "x", text) == re.sub(r"[0-9A-Z]", "x", new)
+        assert kept and n == 1 and new != text, text
+        for value in (card, spaced, iban, amex, "DE89370400440532013000", "WEST 1234 5698 7654 32"):
+            assert value not in new
+    hidden = {text: new for text, (new, _) in zip(texts, replace(*texts), strict=True)}
+    assert hidden[f"{spaced} 12/27"].endswith(" 12/27") and hidden[f"{card} 123"].endswith(" 123")
+    assert hidden[f"{iban} AND BIC"].endswith(" AND BIC") and hidden["DE89370400440532013000 2024"].endswith(" 2024")
+    first, second = hidden[f"{amex} {amex}"].split()
+    assert first == second
+    assert hidden[f"{iban} AND BIC"].replace(" ", "")[:22] == hidden["DE89370400440532013000 2024"][:22]
+
+
+def valid_stretches(text):
+    """Stretches of digit groups that are valid cards, by trying all of them; the first and longest count."""
+    found, end = [], 0
+    groups = list(re.finditer(r"[0-9]+", text))
+    for i, first in enumerate(groups):
+        if first.start() < end:
+            continue
+        best = None
+        for last in groups[i:]:
+            stretch = text[first.start() : last.end()]
+            if re.search(r"[^0-9 -]|[ -]{2}", stretch):
+                break
+            around = text[max(0, first.start() - 1) : first.start()] + text[last.end() : last.end() + 1]
+            digits = re.sub("[^0-9]", "", stretch)
+            sizes = [len(g) for g in re.findall("[0-9]+", stretch)]
+            grouped = len(sizes) == 1 or all(3 <= n <= 7 for n in sizes)
+            if grouped and 13 <= len(digits) <= 19 and luhn(digits) == 0 and not re.search("[A-Za-z]", around):
+                best = last
+        if best:
+            end = best.end()
+            found.append(text[first.start() : end])
+    return found
+
+
+def test_no_card_of_the_given_documents_is_left(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    new = {r.doc_id: r.text for r in pseudonyms.pseudonymized(docs, KEY).collect()}
+    cards = [(i, card) for i, text in texts.items() for card in valid_stretches(text or "")]
+    assert cards and not [card for i, card in cards if card in new[i]]
+
+
 def test_secrets_need_their_name(replace):
     token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
     changed = by_class(token, "secret", 6)
