@@ -32,12 +32,14 @@ from __future__ import annotations
 import bisect
 import math
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerostrata.llm import packing
-from aerostrata.llm.staging import stored
+from aerostrata.llm.staging import binary_column, map_arrow, row_ids, stored
+from aerostrata.llm.word_memory import text_groups, tokenizer_memory
 
 TIERS = (512, 1024, 2048, 4096)
 STEP_TOKENS = 8 * 4096
@@ -165,6 +167,47 @@ def plan(histogram: dict[int, int], tiers: tuple[int, ...] = TIERS) -> tuple[lis
     return rows, spans
 
 
+_CHUNKS = "doc_id long, doc_tokens long, start long, length long, ids binary, task int, rank long, uid long"
+
+
+def chunks(
+    docs: DataFrame, tokenizer: str, most: int, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Token ids of every document in chunks of at most ``most``, with their rank among equal lengths of a task."""
+
+    def tokenized(batches):
+        memory, task, rows = tokenizer_memory(tokenizer), TaskContext.get().partitionId(), 0
+        seen = np.zeros(most + 1, np.int64)
+        end = np.array([] if end_id is None else [end_id], np.uint32)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for i, j in text_groups(texts):
+                ids, counts = memory.encode(texts[i:j])
+                ids = np.insert(ids, np.cumsum(counts).repeat(len(end)), np.tile(end, j - i))
+                counts = counts + len(end)
+                parts = -(-counts // most)
+                of = np.repeat(np.arange(j - i), parts)
+                start = (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)) * most
+                length = np.minimum(most, counts[of] - start)
+                rank = np.empty(len(of), np.int64)
+                for each in np.unique(length):
+                    same = np.flatnonzero(length == each)
+                    rank[same] = seen[each] + np.arange(len(same))
+                    seen[each] += len(same)
+                columns = [
+                    batch.column(0)[i:j].take(pa.array(of)),
+                    *(pa.array(x) for x in (counts[of], start, length)),
+                    binary_column(ids.astype("<u4"), length * 4),
+                    pa.array(np.full(len(of), task, np.int32)),
+                    pa.array(rank),
+                    pa.array(row_ids(task, rows, j - i)[of]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _CHUNKS.split(", ")])
+                rows += j - i
+
+    return map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), tokenized, _CHUNKS)
+
+
 def _ranked(cut: DataFrame) -> DataFrame:
     """Chunks whose rank counts over all tasks."""
     counts = cut.groupBy("task", "length").agg(F.count("*").alias("n"))
@@ -205,7 +248,7 @@ def packed(
     ``step_group`` the group of sequences that are trained on together.
     """
     spark, largest = docs.sparkSession, max(tiers)
-    cut = stored(packing.pieces(docs, tokenizer, largest, end_id, id_col, text_col), f"{folder}/chunks")
+    cut = stored(chunks(docs, tokenizer, largest, end_id, id_col, text_col), f"{folder}/chunks")
     found = cut.groupBy("length").agg(F.count("*").alias("n")).collect()  # as many rows as the largest size
     rows, spans = plan({r.length: r.n for r in found}, tiers)
     columns = list(zip(*rows, strict=True)) or [()] * len(_PLAN)
@@ -219,6 +262,7 @@ def packed(
     fits = (F.col("c.length") == F.col("p.length")) & (within >= 0) & (F.col("c.rank") < F.col("p.rank_to"))
     sequence = (F.col("first_sequence") + F.floor(within / F.col("per_sequence"))).cast("long")
     context, group = _dealt(F.col("sequence_id"), spans, step_tokens)
+    # the ids are shuffled once, to count ranks over all tasks
     pieces = c.join(p, fits).select(
         "uid",
         "doc_id",
@@ -227,13 +271,6 @@ def packed(
         F.substring("ids", (F.col("cut_from") * 4 + 1).cast("int"), (F.col("cut_length") * 4).cast("int")).alias("ids"),
         sequence.alias("sequence_id"),
         (F.col("at") + within % F.col("per_sequence") * F.col("cut_length")).alias("offset"),
-        # of a document that is a single chunk the chunk's length
-        F.when((F.col("start") == 0) & (F.col("c.length") < largest), F.col("c.length")).alias("short"),
+        "doc_tokens",
     )
-    long = cut.where((F.col("start") > 0) | (F.col("length") == largest))
-    long = long.groupBy("uid").agg(F.max(F.col("start") + F.col("length")).alias("total"))
-    return pieces.join(long, "uid", "left").select(
-        "uid", "doc_id", "start", "length", "ids",
-        F.coalesce("short", "total").alias("doc_tokens"),
-        "sequence_id", "offset", context.alias("context"), group.alias("step_group"),
-    )
+    return pieces.withColumn("context", context).withColumn("step_group", group)
