@@ -170,16 +170,15 @@ def op11_conversation_repair(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def op12_tiered_packing(spark: SparkSession, data_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 512 to 4096 tokens."""
-    placed = tiered_packing.packed(
+    cut, placed = tiered_packing.packed(
         _documents(spark, data_dir),
         run_folder(spark, "tiered-packing"),
         public_tokenizers.path("word_bpe_49k.json"),
         end_id=2,
     )
-    return placed.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
-        "context", "step_group",
-    )
+    return tiered_packing.checksums(cut, placed).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "context", "step_group"
+    )
 
 
 def op13_prefix_trie(spark: SparkSession, data_dir: str) -> DataFrame:

@@ -197,7 +197,7 @@ def chunks(
                 columns = [
                     batch.column(0)[i:j].take(pa.array(of)),
                     *(pa.array(x) for x in (counts[of], start, length)),
-                    binary_column(ids.astype("<u4"), length * 4),
+                    binary_column(ids.astype("<u4", copy=False), length * 4),
                     pa.array(np.full(len(of), task, np.int32)),
                     pa.array(rank),
                     pa.array(row_ids(task, rows, j - i)[of]),
@@ -240,15 +240,17 @@ def packed(
     step_tokens: int = STEP_TOKENS,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> DataFrame:
-    """One row per piece of a document, with its ids and its place.
+) -> tuple[DataFrame, DataFrame]:
+    """The stored chunks with their ids, and where each piece of a document stands (stored, without ids).
 
     ``uid`` names a row of ``docs``, ``start`` counts its ids before the piece, ``doc_tokens`` all of them;
     ``sequence_id`` and ``offset`` say where the piece stands, ``context`` is the sequence's size and
-    ``step_group`` the group of sequences that are trained on together.
+    ``step_group`` the group of sequences that are trained on together.  A piece is part of the chunk
+    that starts at ``chunk_start``; ``ids_crc32`` is the checksum of a piece that is a whole chunk.
     """
     spark, largest = docs.sparkSession, max(tiers)
-    cut = stored(chunks(docs, tokenizer, largest, end_id, id_col, text_col), f"{folder}/chunks")
+    cut = chunks(docs, tokenizer, largest, end_id, id_col, text_col).withColumn("ids_crc32", F.crc32("ids"))
+    cut = stored(cut, f"{folder}/chunks")
     found = cut.groupBy("length").agg(F.count("*").alias("n")).collect()  # as many rows as the largest size
     rows, spans = plan({r.length: r.n for r in found}, tiers)
     columns = list(zip(*rows, strict=True)) or [()] * len(_PLAN)
@@ -257,20 +259,43 @@ def packed(
     if len(rows) <= MOST_BROADCAST:
         placing = F.broadcast(placing)
 
-    p, c = placing.alias("p"), _ranked(cut).alias("c")
+    p, c = placing.alias("p"), _ranked(cut.drop("ids")).alias("c")
     within = F.col("c.rank") - F.col("p.rank_from")
     fits = (F.col("c.length") == F.col("p.length")) & (within >= 0) & (F.col("c.rank") < F.col("p.rank_to"))
     sequence = (F.col("first_sequence") + F.floor(within / F.col("per_sequence"))).cast("long")
     context, group = _dealt(F.col("sequence_id"), spans, step_tokens)
-    # the ids are shuffled once, to count ranks over all tasks
     pieces = c.join(p, fits).select(
         "uid",
         "doc_id",
+        F.col("start").alias("chunk_start"),
         (F.col("start") + F.col("cut_from")).alias("start"),
         F.col("cut_length").alias("length"),
-        F.substring("ids", (F.col("cut_from") * 4 + 1).cast("int"), (F.col("cut_length") * 4).cast("int")).alias("ids"),
+        F.when(F.col("cut_length") == F.col("c.length"), F.col("ids_crc32")).alias("ids_crc32"),
         sequence.alias("sequence_id"),
         (F.col("at") + within % F.col("per_sequence") * F.col("cut_length")).alias("offset"),
         "doc_tokens",
     )
-    return pieces.withColumn("context", context).withColumn("step_group", group)
+    placed = pieces.withColumn("context", context).withColumn("step_group", group)
+    return cut, stored(placed, f"{folder}/placed")
+
+
+def with_ids(cut: DataFrame, placed: DataFrame) -> DataFrame:
+    """Pieces with their ``ids`` (little-endian, 32 bits)."""
+    chunk = cut.select(F.col("uid").alias("c_uid"), F.col("start").alias("c_start"), F.col("ids").alias("chunk_ids"))
+    first = ((F.col("start") - F.col("chunk_start")) * 4 + 1).cast("int")
+    return (
+        placed.join(chunk, (F.col("uid") == F.col("c_uid")) & (F.col("chunk_start") == F.col("c_start")))
+        .withColumn("ids", F.substring("chunk_ids", first, (F.col("length") * 4).cast("int")))
+        .drop("c_uid", "c_start", "chunk_ids")
+    )
+
+
+def checksums(cut: DataFrame, placed: DataFrame) -> DataFrame:
+    """Pieces with the checksums of all their ids.
+
+    That of a whole chunk is known; only pieces that were cut, one in a sequence at most, look up their ids.  Few
+    of them are broadcast by Spark's own size check; otherwise the ids are shuffled once.
+    """
+    whole = placed.where("ids_crc32 IS NOT NULL")
+    parts = with_ids(cut, placed.where("ids_crc32 IS NULL"))
+    return whole.unionByName(parts.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
