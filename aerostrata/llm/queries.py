@@ -170,13 +170,13 @@ def op11_conversation_repair(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def op12_tiered_packing(spark: SparkSession, data_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 512 to 4096 tokens."""
-    cut, placed = tiered_packing.packed(
+    _, placed, parted = tiered_packing.packed(
         _documents(spark, data_dir),
         run_folder(spark, "tiered-packing"),
         public_tokenizers.path("word_bpe_49k.json"),
         end_id=2,
     )
-    return tiered_packing.checksums(cut, placed).select(
+    return tiered_packing.checksums(placed, parted).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "context", "step_group"
     )
 

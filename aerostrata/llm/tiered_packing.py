@@ -189,11 +189,11 @@ def chunks(
                 of = np.repeat(np.arange(j - i), parts)
                 start = (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)) * most
                 length = np.minimum(most, counts[of] - start)
+                order = np.argsort(length, kind="stable")
+                each, first, n = np.unique(length[order], return_index=True, return_counts=True)
                 rank = np.empty(len(of), np.int64)
-                for each in np.unique(length):
-                    same = np.flatnonzero(length == each)
-                    rank[same] = seen[each] + np.arange(len(same))
-                    seen[each] += len(same)
+                rank[order] = np.arange(len(of)) + np.repeat(seen[each] - first, n)
+                seen[each] += n
                 columns = [
                     batch.column(0)[i:j].take(pa.array(of)),
                     *(pa.array(x) for x in (counts[of], start, length)),
@@ -208,12 +208,35 @@ def chunks(
     return map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), tokenized, _CHUNKS)
 
 
-def _ranked(cut: DataFrame) -> DataFrame:
-    """Chunks whose rank counts over all tasks."""
+def _before(cut: DataFrame) -> DataFrame:
+    """For every task and length the chunks, and those of this length in earlier tasks."""
     counts = cut.groupBy("task", "length").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    return cut.join(before, ["task", "length"]).withColumn("rank", F.col("rank") + F.col("before"))
+    return counts.select("task", "length", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+
+
+def _ranked(cut: DataFrame) -> DataFrame:
+    """Chunks whose rank counts over all tasks."""
+    ranked = cut.join(_before(cut).drop("n"), ["task", "length"])
+    return ranked.withColumn("rank", F.col("rank") + F.col("before")).drop("before")
+
+
+def _parted(cut: DataFrame, rows: list[tuple[int, ...]]) -> DataFrame:
+    """The chunks of the tasks and lengths in which the plan cuts any.
+
+    Ranks ascend with tasks, so every cut row of the plan covers neighbouring tasks: one row of a length and two
+    tasks for each of them, no more than the plan has.
+    """
+    ranges = sorted({(row[0], row[1], row[2]) for row in rows if row[4] < row[0]})
+    wanted = cut.sparkSession.createDataFrame(ranges, "length long, rank_from long, rank_to long")
+    there = (F.col("before") < F.col("rank_to")) & (F.col("before") + F.col("n") > F.col("rank_from"))
+    spans = (
+        _before(cut.drop("ids")).join(F.broadcast(wanted), "length").where(there)
+        .groupBy("length", "rank_from", "rank_to").agg(F.min("task").alias("first_task"), F.max("task").alias("last_task"))
+        .select(F.col("length").alias("s_length"), "first_task", "last_task")
+    )
+    inside = (F.col("length") == F.col("s_length")) & F.col("task").between(F.col("first_task"), F.col("last_task"))
+    return cut.join(F.broadcast(spans) if len(rows) <= MOST_BROADCAST else spans, inside, "leftsemi")
 
 
 def _dealt(sequence: Column, spans: list[tuple[int, int, int]], step_tokens: int) -> tuple[Column, Column]:
@@ -240,8 +263,9 @@ def packed(
     step_tokens: int = STEP_TOKENS,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> tuple[DataFrame, DataFrame]:
-    """The stored chunks with their ids, and where each piece of a document stands (stored, without ids).
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored chunks with their ids, where each piece of a document stands (stored, without ids), and the chunks
+    of which some are cut.
 
     ``uid`` names a row of ``docs``, ``start`` counts its ids before the piece, ``doc_tokens`` all of them;
     ``sequence_id`` and ``offset`` say where the piece stands, ``context`` is the sequence's size and
@@ -276,7 +300,7 @@ def packed(
         "doc_tokens",
     )
     placed = pieces.withColumn("context", context).withColumn("step_group", group)
-    return cut, stored(placed, f"{folder}/placed")
+    return cut, stored(placed, f"{folder}/placed"), _parted(cut, rows)
 
 
 def with_ids(cut: DataFrame, placed: DataFrame) -> DataFrame:
@@ -290,12 +314,12 @@ def with_ids(cut: DataFrame, placed: DataFrame) -> DataFrame:
     )
 
 
-def checksums(cut: DataFrame, placed: DataFrame) -> DataFrame:
+def checksums(placed: DataFrame, parted: DataFrame) -> DataFrame:
     """Pieces with the checksums of all their ids.
 
-    That of a whole chunk is known; only pieces that were cut, one in a sequence at most, look up their ids.  Few
-    of them are broadcast by Spark's own size check; otherwise the ids are shuffled once.
+    That of a whole chunk is known; only pieces that were cut, one in a sequence at most, look up their ids, among
+    the chunks of which some are cut.
     """
     whole = placed.where("ids_crc32 IS NOT NULL")
-    parts = with_ids(cut, placed.where("ids_crc32 IS NULL"))
+    parts = with_ids(parted, placed.where("ids_crc32 IS NULL"))
     return whole.unionByName(parts.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))

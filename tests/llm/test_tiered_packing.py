@@ -134,14 +134,14 @@ def test_odd_documents(spark, tmp_path):
 
 def test_no_documents(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
-    cut, placed = tiered_packing.packed(none, run_folder(spark, "test"), WORDS, 2)
-    assert cut.collect() == placed.collect() == tiered_packing.checksums(cut, placed).collect() == []
+    cut, placed, parted = tiered_packing.packed(none, run_folder(spark, "test"), WORDS, 2)
+    assert cut.collect() == placed.collect() == tiered_packing.checksums(placed, parted).collect() == []
 
 
 def test_ids_of_all_pieces(spark):
     """Pieces with their ids, joined in order, are the documents again."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    cut, placed = tiered_packing.packed(docs, run_folder(spark, "test"), WORDS, 2)
+    cut, placed, _ = tiered_packing.packed(docs, run_folder(spark, "test"), WORDS, 2)
     library, found = Tokenizer.from_file(WORDS), defaultdict(list)
     for r in tiered_packing.with_ids(cut, placed).collect():
         found[r.doc_id].append((r.start, bytes(r.ids)))
