@@ -23,12 +23,12 @@ PASSPORT_MASK = "***MASKED***"
 # The classifier is defined over Unicode text: any decimal digit, any letter,
 # and every character that counts as white space when splitting words.
 _SPACE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-_UNICODE_PHONE = rf"\p{{Nd}}{{3}}[-{_SPACE}]?\p{{Nd}}{{3}}[-{_SPACE}]?\p{{Nd}}{{4}}"
+UNICODE_PHONE_PATTERN = rf"\p{{Nd}}{{3}}[-{_SPACE}]?\p{{Nd}}{{3}}[-{_SPACE}]?\p{{Nd}}{{4}}"
 # Possessive quantifiers: words and gaps cannot overlap, so nothing is ever
 # retried and a text of any length is matched in one pass without recursion.
-_WORDS = rf"\A[{_SPACE}]*+\p{{L}}++(?:[{_SPACE}]++\p{{L}}++)++[{_SPACE}]*+\z"
+WORDS_PATTERN = rf"\A[{_SPACE}]*+\p{{L}}++(?:[{_SPACE}]++\p{{L}}++)++[{_SPACE}]*+\z"
 # (?d): only a newline ends a line, so "$" allows nothing else after the match.
-_UNIX_EMAIL = "(?d)" + EMAIL_PATTERN
+UNIX_EMAIL_PATTERN = "(?d)" + EMAIL_PATTERN
 
 
 def email_rule(email: Column) -> Column:
@@ -49,11 +49,11 @@ def content_type(text: Column) -> Column:
     address_like = text.contains("@") & text.contains(".")
     return (
         F.when(text.isNull() | (size == 0), "NONE")
-        .when(address_like & text.rlike(_UNIX_EMAIL), "EMAIL")
+        .when(address_like & text.rlike(UNIX_EMAIL_PATTERN), "EMAIL")
         .when(address_like, "EMAIL_LIKE")
-        .when(text.rlike(_UNICODE_PHONE), "PHONE")
+        .when(text.rlike(UNICODE_PHONE_PATTERN), "PHONE")
         .when(text.startswith("P") & (size == 9), "PASSPORT")
-        .when(text.rlike(_WORDS), "NAME")
+        .when(text.rlike(WORDS_PATTERN), "NAME")
         .when(text.startswith("CUST") & (size == 10), "CUSTOMER_ID")
         .otherwise("UNKNOWN")
     )
@@ -75,9 +75,11 @@ def mask_phone(phone: Column) -> Column:
 
 # The second, documented masking style: J*** D***, j***@example.com, +1-555-***-****.
 # A value that does not have the documented shape is masked as a whole.
-_NAME_SHAPE = r"^\p{L}+( \p{L}+)*\z"
-_EMAIL_SHAPE = r"^[^@\s]+@[^@\s.]+(\.[^@\s.]+)+\z"
-_PHONE_SHAPE = r"^\+[0-9]{1,3}-[0-9]{3}-[0-9]{3}-[0-9]{4}\z"
+NAME_SHAPE = r"^\p{L}+( \p{L}+)*\z"
+EMAIL_SHAPE = r"^[^@\s]+@[^@\s.]+(\.[^@\s.]+)+\z"
+PHONE_SHAPE = r"^\+[0-9]{1,3}-[0-9]{3}-[0-9]{3}-[0-9]{4}\z"
+WORD_LETTERS, WORD_MASK = r"(\p{L})\p{L}*", "$1***"
+PHONE_TAIL = r"\d{3}-\d{4}$"
 
 
 def _masked(value: Column, shape: str, shown: Column, hidden: str) -> Column:
@@ -85,18 +87,18 @@ def _masked(value: Column, shape: str, shown: Column, hidden: str) -> Column:
 
 
 def mask_name_by_word(name: Column) -> Column:
-    shown = F.regexp_replace(name, r"(\p{L})\p{L}*", "$1***")
-    return _masked(name, _NAME_SHAPE, shown, NAME_MASK)
+    shown = F.regexp_replace(name, WORD_LETTERS, WORD_MASK)
+    return _masked(name, NAME_SHAPE, shown, NAME_MASK)
 
 
 def mask_email_keep_domain(email: Column) -> Column:
     shown = F.concat(F.substring(email, 1, 1), F.lit("***@"), F.substring_index(email, "@", -1))
-    return _masked(email, _EMAIL_SHAPE, shown, "***@***")
+    return _masked(email, EMAIL_SHAPE, shown, "***@***")
 
 
 def mask_phone_tail(phone: Column) -> Column:
-    shown = F.regexp_replace(phone, r"\d{3}-\d{4}$", PHONE_MASK)
-    return _masked(phone, _PHONE_SHAPE, shown, PHONE_MASK)
+    shown = F.regexp_replace(phone, PHONE_TAIL, PHONE_MASK)
+    return _masked(phone, PHONE_SHAPE, shown, PHONE_MASK)
 
 
 # Shapes searched for inside free text.  A shape may not start or end in the

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostrata.functions.shape import mean, percent
+from aerostrata.operators import sketches
 
 # Minutes after which a flight counts as delayed, the smallest
 # route of the mart, and the arrow of a route label.
@@ -21,6 +22,7 @@ LATE_AFTER = 15
 MIN_ROUTE_FLIGHTS = 10
 ARROW = " → "
 
+CELL_KEYS, SKETCHED = ["segment", "country"], ["email", "customer_id"]
 ROUTE_KEYS = ["origin_airport", "dest_airport"]
 
 
@@ -151,6 +153,11 @@ def customer_segment_stats(customers: DataFrame) -> DataFrame:
     )
 
 
+def customer_states(customers: DataFrame) -> DataFrame:
+    """Customers per segment and country with sketches of their e-mails and ids, which add up over cells and loads."""
+    return sketches.states(customers, CELL_KEYS, SKETCHED)
+
+
 def segment_totals(stats: DataFrame) -> DataFrame:
     """Customers per segment, the largest first."""
     totals = stats.groupBy("segment").agg(F.sum("customer_count").alias("total"))

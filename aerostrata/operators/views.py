@@ -78,20 +78,69 @@ def segment_detail_view_sql(layers: Layers) -> str:
 
 
 def masked_view_sql(layers: Layers) -> str:
-    """Text of the persistent masked view, with the masks of ``functions.personal_data``."""
-    from aerostrata.functions.personal_data import EMAIL_MASK, NAME_MASK, PASSPORT_MASK, PHONE_MASK
-
+    """Text of the persistent masked view, with the stored mask functions."""
+    f = layers.meta
     return f"""
         SELECT customer_id,
-               left(full_name, 1) || '{NAME_MASK}' AS full_name_masked,
-               left(email, 3) || '{EMAIL_MASK}' || substring_index(email, '@', -1) AS email_masked,
-               left(phone, 6) || '{PHONE_MASK}' AS phone_masked,
-               '{PASSPORT_MASK}' AS passport_masked,
+               {f}.mask_name(full_name) AS full_name_masked,
+               {f}.mask_email(email) AS email_masked,
+               {f}.mask_phone(phone) AS phone_masked,
+               {f}.mask_passport(passport_no) AS passport_masked,
                country, segment, transformation_timestamp
         FROM {layers.customer_silver}
     """
 
 
+def documented_masks_view_sql(layers: Layers) -> str:
+    f = layers.meta
+    return f"""
+        SELECT customer_id,
+               {f}.mask_name_by_word(full_name) AS full_name_masked,
+               {f}.mask_email_keep_domain(email) AS email_masked,
+               {f}.mask_phone_tail(phone) AS phone_masked
+        FROM {layers.customer_silver}
+    """
+
+
+def rule_types_view_sql(layers: Layers) -> str:
+    f = layers.meta
+    return f"""
+        SELECT customer_id, full_name, email, phone, passport_no,
+               {f}.email_rule(email) AS email_pii_type,
+               {f}.phone_rule(phone) AS phone_pii_type,
+               {f}.passport_rule(passport_no) AS passport_pii_type,
+               'NAME' AS name_pii_type
+        FROM {layers.customer_silver}
+    """
+
+
+def detection_view_sql(layers: Layers) -> str:
+    """Rule types, content types and confidence of the customers as they are now."""
+    f = layers.meta
+    agrees = ", ".join(f"{kind}_pii_type = ai_{kind}_type" for kind in ("email", "phone", "passport"))
+    return f"""
+        SELECT *, {f}.detection_confidence({agrees}) AS detection_confidence
+        FROM (SELECT *,
+                     {f}.content_type(full_name) AS ai_name_type,
+                     {f}.content_type(email) AS ai_email_type,
+                     {f}.content_type(phone) AS ai_phone_type,
+                     {f}.content_type(passport_no) AS ai_passport_type
+              FROM {layers.rule_types_view})
+    """
+
+
+#: Texts of the persistent views by the name that ``Layers`` has for them; later ones may read earlier ones.
+VIEWS = {
+    "airline_route_analysis": airline_route_view_sql,
+    "customer_segment_detail": segment_detail_view_sql,
+    "customer_masked_view": masked_view_sql,
+    "documented_masks_view": documented_masks_view_sql,
+    "rule_types_view": rule_types_view_sql,
+    "detection_view": detection_view_sql,
+}
+CUSTOMER_VIEWS = ["customer_masked_view", "documented_masks_view", "rule_types_view", "detection_view"]
+
+
 def top_delayed_airlines(kpi: DataFrame, k: int = 5) -> DataFrame:
     return (
         kpi.orderBy(F.desc("delayed_rate_pct"), "airline_code")

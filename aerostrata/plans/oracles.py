@@ -457,6 +457,15 @@ _PARTS: dict[str, tuple[str, str]] = {
     "kpi_from_months": (KPI, f"SELECT {_KPI_COLUMNS} FROM kpi"),
     "routes_from_months": (ROUTES, f"SELECT {_ROUTE_COLUMNS} FROM routes"),
     "route_performance": (ROUTES, f"SELECT {_ROUTE_COLUMNS} FROM routes"),
+    "distinct_rollups": (
+        CUSTOMERS,
+        """SELECT CASE grouping(segment) * 2 + grouping(country) WHEN 0 THEN 'segment, country'
+                WHEN 1 THEN 'segment' WHEN 2 THEN 'country' ELSE 'all' END AS level,
+           segment, country, count(*) AS rows,
+           count(DISTINCT email) AS distinct_email, true AS email_within_bound,
+           count(DISTINCT customer_id) AS distinct_customer_id, true AS customer_id_within_bound
+        FROM customers GROUP BY CUBE (segment, country)""",
+    ),
     "customer_segment_stats": (STATS, "SELECT * FROM stats"),
     "segment_totals": (
         STATS,
@@ -727,4 +736,7 @@ def oracle_sql() -> dict[str, str]:
     built["view_airline_route_analysis"] = built["airline_route_analysis"]
     built["view_segment_detail"] = built["customer_segment_detail"]
     built["view_customer_masked"] = built["customer_masked"]
+    built["view_masks_documented"] = built["customer_masked_readme"]
+    built["view_rule_types"] = built["pii_rule_types"]
+    built["view_detection"] = built["pii_detection"]
     return built

@@ -99,6 +99,7 @@ def build_gold(spark: SparkSession, layers: Layers) -> None:
     legs = catalog.replace_table(gold.leg_rollup(flights), layers.flight_legs)
     catalog.replace_table(gold.route_performance(legs), layers.route_performance)
     catalog.replace_table(gold.customer_segment_stats(customers), layers.customer_segment_stats)
+    catalog.replace_table(gold.customer_states(customers), layers.customer_states)
 
 
 def detect_personal_data(spark: SparkSession, layers: Layers) -> DataFrame:
@@ -106,14 +107,12 @@ def detect_personal_data(spark: SparkSession, layers: Layers) -> DataFrame:
     return catalog.replace_rows(found, layers.pii_detection_result)
 
 
-def publish_views(spark: SparkSession, layers: Layers) -> None:
-    catalog.replace_view(
-        spark, layers.airline_route_analysis, views.airline_route_view_sql(layers)
-    )
-    catalog.replace_view(
-        spark, layers.customer_segment_detail, views.segment_detail_view_sql(layers)
-    )
-    catalog.replace_view(spark, layers.customer_masked_view, views.masked_view_sql(layers))
+def publish_views(spark: SparkSession, layers: Layers, names: list[str] | None = None) -> None:
+    """The stored functions, then the persistent views that call them; all views unless some are named."""
+    catalog.replace_functions(spark, layers.meta)
+    for name, text in views.VIEWS.items():
+        if names is None or name in names:
+            catalog.replace_view(spark, getattr(layers, name), text(layers))
 
 
 def run(flights: DataFrame, customers: DataFrame, layers: Layers, **silver_options) -> None:

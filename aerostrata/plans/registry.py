@@ -18,6 +18,7 @@ from aerostrata.operators import (
     quantiles,
     rejects,
     silver,
+    sketches,
     statistics,
     views,
 )
@@ -118,15 +119,48 @@ def _stored_environment(i: Inputs) -> Layers:
     return layers
 
 
-def _stored_view(name: str) -> Callable[[Inputs], DataFrame]:
-    """A persistent view, read back from a stored environment."""
+def _customer_view(name: str) -> Callable[[Inputs], DataFrame]:
+    """A persistent view over stored customers, which calls the stored functions."""
 
     def query(i: Inputs) -> DataFrame:
-        return i.spark.table(getattr(_stored_environment(i), name))
+        layers = catalog.scratch_layers(i.spark)
+        catalog.replace_table(i.customers, layers.customer_silver)
+        pipeline.publish_views(i.spark, layers, views.CUSTOMER_VIEWS)
+        return i.spark.table(getattr(layers, name))
 
     return query
 
 
+def _segment_view(i: Inputs) -> DataFrame:
+    layers = catalog.scratch_layers(i.spark)
+    catalog.replace_table(i.stats, layers.customer_segment_stats)
+    pipeline.publish_views(i.spark, layers, ["customer_segment_detail"])
+    return i.spark.table(layers.customer_segment_detail)
+
+
+def _route_view(i: Inputs) -> DataFrame:
+    """The view over both flight marts and the leg roll-up, all stored."""
+    layers = catalog.scratch_layers(i.spark)
+    catalog.replace_table(i.kpi, layers.flight_delay_kpi)
+    legs = catalog.replace_table(i.legs, layers.flight_legs)
+    catalog.replace_table(gold.route_performance(legs), layers.route_performance)
+    pipeline.publish_views(i.spark, layers, ["airline_route_analysis"])
+    return i.spark.table(layers.airline_route_analysis)
+
+
+def _distinct_rollups(i: Inputs) -> DataFrame:
+    """Customers and distinct e-mails by segment, country, both and in all.
+
+    Exact figures beside whether the estimates, which come from the stored sketches alone, keep their bound.
+    """
+    layers = catalog.scratch_layers(i.spark)
+    states = catalog.replace_table(gold.customer_states(i.customers), layers.customer_states)
+    keys, columns = gold.CELL_KEYS, gold.SKETCHED
+    exact = sketches.exact_cube(i.customers, keys, columns)
+    estimated = sketches.estimated_cube(states, keys, columns)
+    return sketches.compared(exact, estimated, keys, columns)
+
+
 def _stored(i: Inputs, df: DataFrame, name: str) -> DataFrame:
     return catalog.replace_table(df, f"{catalog.scratch_layers(i.spark).silver}.{name}")
 
@@ -243,6 +277,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "flight_delay_kpi": lambda i: i.kpi,
     "route_performance": lambda i: i.routes,
     "customer_segment_stats": lambda i: i.stats,
+    "distinct_rollups": _distinct_rollups,
     "segment_totals": lambda i: i.totals,
     "overall_totals": lambda i: gold.overall_totals(i.kpi),
     "best_worst_airline": lambda i: insights.best_worst_airline(i.kpi),
@@ -256,9 +291,12 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "top_delayed_airlines": lambda i: views.top_delayed_airlines(i.kpi),
     "top_routes_preview": lambda i: views.top_routes(i.routes),
     "top_segments_preview": lambda i: views.top_segments(i.stats),
-    "view_airline_route_analysis": _stored_view("airline_route_analysis"),
-    "view_segment_detail": _stored_view("customer_segment_detail"),
-    "view_customer_masked": _stored_view("customer_masked_view"),
+    "view_airline_route_analysis": _route_view,
+    "view_segment_detail": _segment_view,
+    "view_customer_masked": _customer_view("customer_masked_view"),
+    "view_masks_documented": _customer_view("documented_masks_view"),
+    "view_rule_types": _customer_view("rule_types_view"),
+    "view_detection": _customer_view("detection_view"),
     # personal data
     "pii_rule_types": lambda i: i.rule_types,
     "pii_rule_counts": lambda i: governance.rule_counts(i.rule_types),
@@ -310,6 +348,7 @@ STORING = {
     "silver_flights_by_month", "clustering_depth", "compacted_flights",
     "kpi_from_months", "routes_from_months", "load_audits", "rejected_rows", "price_quantiles",
     "view_airline_route_analysis", "view_segment_detail", "view_customer_masked",
+    "view_masks_documented", "view_rule_types", "view_detection", "distinct_rollups",
 }
 MEASURING = {"zorder_flights", "zorder_customers"}
 

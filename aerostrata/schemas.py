@@ -154,6 +154,18 @@ class Layers:
     def customer_masked_view(self) -> str:
         return f"{self.silver}.customer_masked_view"
 
+    @property
+    def documented_masks_view(self) -> str:
+        return f"{self.silver}.customer_masked_documented_view"
+
+    @property
+    def rule_types_view(self) -> str:
+        return f"{self.silver}.pii_rule_types_view"
+
+    @property
+    def detection_view(self) -> str:
+        return f"{self.silver}.pii_detection_view"
+
     def by_layer(self) -> list[tuple[str, str]]:
         """(layer label, table) for the eight reported tables (the leg roll-up is an aid of the marts)."""
         return [

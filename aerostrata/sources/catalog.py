@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aerostrata.functions.sql_functions import FUNCTIONS, SqlFunction
 from aerostrata.schemas import Layers
 from aerostrata.sources import replacing
 
@@ -91,6 +92,12 @@ def replace_view(spark: SparkSession, view: str, query: str) -> DataFrame:
     return spark.table(view)
 
 
+def replace_functions(spark: SparkSession, database: str, functions: list[SqlFunction] = FUNCTIONS) -> None:
+    """Create or replace persistent SQL functions, which views and other sessions can call."""
+    for function in functions:
+        spark.sql(function.statement(database))
+
+
 def preview(df: DataFrame, n: int, *order: str) -> DataFrame:
     """The first ``n`` rows in a stated order (a top-n, not a full sort)."""
     return df.orderBy(*order).limit(n)
