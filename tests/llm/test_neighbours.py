@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from aerostrata.llm import neighbours
-from aerostrata.llm.staging import run_folder
+from aerostrata.llm.staging import run_folder, stored
 from tests.conftest import DATA
 
 
@@ -46,6 +47,7 @@ def test_recall_on_the_given_vectors(spark):
 
 def test_clustered_vectors_and_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK", 16)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 8)
     draw = np.random.default_rng(4)
     centres = draw.normal(size=(12, 8)) * 3
     vectors = centres[draw.integers(0, 12, 400)] + draw.normal(size=(400, 8)) * 0.3
@@ -58,6 +60,48 @@ def test_clustered_vectors_and_small_blocks(spark, monkeypatch):
     assert hits >= 0.9 * 5 * 20
 
 
+@pytest.mark.parametrize("n", [50_000, 200_000])
+def test_clustered_vectors_read_few_lists(spark, n):
+    """Recall beside the share of all pairs that were scored, copies included."""
+    draw, dim, k = np.random.default_rng(n), 32, 20
+    centres = draw.normal(size=(n // 250, dim))
+    vectors = centres[draw.integers(0, len(centres), n)] + 0.6 * draw.normal(size=(n, dim))
+    ids = np.arange(n)
+    table = pa.table({"vec_id": ids, "embedding": pa.array(list(vectors), pa.list_(pa.float64()))})
+    folder = run_folder(spark, "test")
+    stored(spark.createDataFrame(table), f"{folder}/given")
+    given = spark.read.parquet(f"{folder}/given")
+    out = neighbours.search(given, F.col("vec_id") % 20 == 0, folder, k, dim)
+    rows = out.where("query_id % 1000 = 0").collect()
+    hits = 0
+    for query in range(0, n, 1000):
+        wanted = {i for i, _ in exact(ids, vectors, query, k)}
+        hits += len(wanted & {r.vec_id for r in rows if r.query_id == query})
+    assert hits / (k * len(range(0, n, 1000))) >= 0.9
+    held = spark.read.parquet(f"{folder}/lists").groupBy("list").agg(F.count("*").alias("n"))
+    probes = spark.read.parquet(f"{folder}/probes")
+    scored = probes.join(held, "list").agg(F.sum("n")).first()[0]
+    assert scored <= 0.15 * n * (n // 20)
+    total, lists = held.agg(F.sum("n"), F.count("*")).first()
+    assert n < total <= 1.4 * n and lists == neighbours.lists_for(n) == {50_000: 64, 200_000: 256}[n]
+
+
+def test_pruning_follows_the_sample():
+    """Wide reach without clusters, narrow with them; copies bounded; equal vectors leave no ratio of nothing."""
+    draw = np.random.default_rng(1)
+    loose = draw.normal(size=(4000, 16))
+    tight = draw.normal(size=(40, 16))[draw.integers(0, 40, 4000)] + 0.1 * draw.normal(size=(4000, 16))
+    reaches = {}
+    for name, v in {"loose": loose, "tight": tight, "equal": np.repeat(loose[:64], 40, axis=0)}.items():
+        fitted = neighbours.fit(v, np.sqrt((v**2).sum(axis=1)).max(), 64)
+        reach = reaches[name] = neighbours.pruning(v, fitted, 20)
+        assert np.isfinite(reach.ratio) and 1 <= reach.ratio and reach.boundary <= neighbours.WIDEST
+        _, chosen = neighbours.homes(neighbours._distances(fitted.lifted(v), fitted.points), reach.boundary)
+        assert chosen[:, 0].all()
+        assert name == "equal" or 1 <= chosen.sum() / len(v) <= neighbours.COPIES + 0.01
+    assert reaches["tight"].ratio < reaches["loose"].ratio
+
+
 def test_odd_rows(spark):
     """Copies, ties, repeated rows and vectors that take no part."""
     base = [1.0, 2.0, 3.0]
