@@ -8,7 +8,8 @@ first and every match is encoded on its own, a match that is an entry itself at
 Decoding maps ids back to their byte strings.
 
 Defined cases: a null text is empty; document ids may be null or repeat, every row keeps its own;
-repeated rows stay; an empty table gives no rows; other columns are left out.
+repeated rows stay; a text of any length is cut by the pattern first, so only a single match is ever encoded
+at once; ties between equal merges go to the leftmost, as ranks are all different; an empty table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations

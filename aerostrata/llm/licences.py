@@ -14,7 +14,8 @@ list inside the plan.
 
 Defined cases: a null or empty text has no sentences; a sentence that occurs twice is listed
 twice, a licence once; several licences are all reported; repeated rows are treated
-alike; other columns are kept, whatever their names.
+alike; of known sentences from one cut the longest counts, so ties cannot occur; a text of any length
+is read paragraph by paragraph in its row; an empty table gives no rows; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations

@@ -132,8 +132,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM judged
 """
 
+OP10_ABLATIONS = f"""
+WITH ledger AS ({OP10}), rules AS (
+    SELECT * FROM (VALUES ('base', 'few_words', 1, 3), ('base', 'repeated_words', 2, 3),
+        ('v1', 'few_words', 1, 15), ('v1', 'repeated_words', 2, 15), ('v1', 'symbols', 4, 15),
+        ('v1', 'repeated_lines', 8, 15)) AS t(policy, rule, bit, mask)
+)
+SELECT policy, rule,
+       count(*) FILTER ((failed_rules & bit) <> 0) AS failing,
+       count(*) FILTER ((failed_rules & mask) = bit) AS failing_only_this,
+       count(*) FILTER ((failed_rules & mask & ~bit) = 0) AS kept_without_it
+FROM ledger, rules GROUP BY policy, rule
+"""
+
 ORACLES: dict[str, str] = {
     "op5_line_dedup": OP5,
     "op6_licences": _op6(),
     "op10_quality_rules": OP10,
+    "op10_ablations": OP10_ABLATIONS,
 }

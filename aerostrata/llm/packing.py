@@ -15,7 +15,8 @@ task and length, so no piece is ever gathered with the others of its length.
 
 Defined cases: a null text is empty; a document without tokens gives no piece unless
 an end id is appended; document ids may be null or repeat (pieces of each row stay
-its own, told apart by ``uid``); an empty table gives no rows; other columns are left out.
+its own, told apart by ``uid``); a text of any length is cut into as many full pieces as it needs; pieces of equal length
+(ties) are interchangeable and placed in the order of their tasks; an empty table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations

@@ -1,16 +1,19 @@
 """Quality rules as a ledger of bits: measured once, judged by versioned policies.
 
-``with_ledger`` evaluates every rule on every text a single time and stores the
-measurements beside one number whose bit ``i`` says that rule ``i`` failed.  A
-policy is a mask of rules, so a new policy, or the effect of leaving a rule out, needs
-the ledger only and never the texts again.
+``with_ledger`` evaluates every rule on every text a single time and gives the
+measurements beside one number whose bit ``i`` says that rule ``i`` failed.
+``stored_ledger`` keeps them with the ids of the documents as a table.  A
+policy is a mask of rules, so a new policy (``judged``), or the effect of leaving a rule out
+(``ablations``), needs that table only and never the texts again.
 
 All of it is column expressions in one pass without a shuffle.  Words are the
 stretches between blanks and the control characters from tab to carriage return.
 
 Defined cases: a null text has no words; measurements of texts without words are
 zero, and rules that compare with a share of the words do not fail there; repeated
-rows are judged alike; other columns are kept, whatever their names.
+rows are judged alike and each has its line in the ledger, as have null ids; ties (windows that are
+equal) count every place; a text of any length is judged whole inside its row; an empty table gives
+an empty ledger and no ablations; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerostrata.llm.staging import stored, unused
+
 # Fixed values of the word and symbol definitions.
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -124,6 +129,19 @@ def with_ledger(docs: DataFrame, text_col: str = "text", out: str = "quality") -
     return df.select("doc.*", F.explode(F.array(ledger)).alias(out))
 
 
+def stored_ledger(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger as a stored table: the id, the measurements and ``failed``, one row per document."""
+    rows = docs.select(F.col(id_col), F.col(text_col))
+    ledger = unused(rows, "ledger")
+    judged = with_ledger(rows, text_col, ledger)
+    return stored(judged.select(id_col, f"{ledger}.*"), folder)
+
+
+def judged(ledger: DataFrame, **policies: int) -> DataFrame:
+    """A stored ledger with a verdict per policy, true for documents that it keeps."""
+    return ledger.select("*", *[(~rejected(F.col("failed"), policy)).alias(name) for name, policy in policies.items()])
+
+
 def rejected(failed: Column, policy: int) -> Column:
     """Whether any rule of the policy failed."""
     return failed.bitwiseAND(F.lit(policy)) != 0

@@ -134,18 +134,32 @@ def op9_neighbours(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Measurements of every document and the verdicts of two policies."""
-    judged = quality_rules.with_ledger(_documents(spark, data_dir))
-    failed = F.col("quality.failed")
-    return judged.select(
+    """Measurements of every document and the verdicts of two policies, from a stored ledger."""
+    ledger = quality_rules.stored_ledger(_documents(spark, data_dir), run_folder(spark, "ledger"))
+    base, v1 = quality_rules.POLICIES["base"], quality_rules.POLICIES["v1"]
+    return quality_rules.judged(ledger, base_kept=base, kept=v1).select(
         "doc_id",
-        *(f"quality.{m}" for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
-        failed.alias("failed_rules"),
-        quality_rules.rejected(failed, quality_rules.POLICIES["base"]).alias("base_failed"),
-        (~quality_rules.rejected(failed, quality_rules.POLICIES["v1"])).alias("kept"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        F.col("failed").alias("failed_rules"),
+        (~F.col("base_kept")).alias("base_failed"),
+        "kept",
     )
 
 
+def op10_ablations(spark: SparkSession, data_dir: str) -> DataFrame:
+    """For every rule of both policies: documents that fail it, that fail it alone, and kept without it."""
+    ledger = quality_rules.stored_ledger(_documents(spark, data_dir), run_folder(spark, "ledger"))
+    parts = [
+        quality_rules.ablations(ledger, policy, "failed").select(F.lit(name).alias("policy"), "*")
+        for name, policy in quality_rules.POLICIES.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def op11_conversation_repair(spark: SparkSession, data_dir: str) -> DataFrame:
     """Faults of every damaged conversation, its cheapest repair and a digest of the result."""
     turns = _table(spark, data_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -202,6 +216,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_neighbours": op9_neighbours,
         "op10_quality_rules": op10_quality_rules,
+        "op10_ablations": op10_ablations,
         "op11_conversation_repair": op11_conversation_repair,
         "op12_tiered_packing": op12_tiered_packing,
         "op13_prefix_trie": op13_prefix_trie,

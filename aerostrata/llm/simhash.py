@@ -15,7 +15,8 @@ possible members, so no group grows with the data, whatever the bucket sizes.
 
 Defined cases: a null or empty text has no shingles and fingerprint zero, and is
 linked like any other; a text with fewer words than a shingle is one shingle; null
-ids never win a component unless there is no other; repeated rows stay, in one component; an empty table
+ids never win a component unless there is no other; a bit set in exactly half the shingles (a tie) is 0; a text of
+any length is folded shingle by shingle into 64 counters; repeated rows stay, in one component; an empty table
 gives no rows; other columns are kept, whatever their names.
 """
 

@@ -17,7 +17,8 @@ at all bit offsets at once and looks each code up in a table of
 
 Defined cases: a null text is empty; null document ids come first; documents with
 equal ids stand next to each other in the order they were read; repeated rows are kept; an
-empty table gives an empty file; other columns of the input are left out.
+empty table gives an empty file; a text of any length is coded whole in one block, which then is as
+long as it; ties in counts are broken by the smaller id, so equal counts give equal files; other columns of the input are left out.
 """
 
 from __future__ import annotations

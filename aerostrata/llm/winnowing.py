@@ -23,7 +23,8 @@ Lines without a word are not compared; inside a deleted run they go with it.
 
 Defined cases: a null text stays null and has no lines; null ids come first; documents that share an id
 are ordered by a hash of their texts; rows that agree in id and text are one document and get the same
-lines; an empty table gives no rows; other columns are kept, whatever their names.
+lines; equal smallest hashes in a window (ties) are one fingerprint; a text of any length is
+compared line by line and whole, and a line longer than a window is a window of its own; an empty table gives no rows; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
