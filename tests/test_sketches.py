@@ -70,3 +70,19 @@ def test_roll_up_reads_the_stored_cells_only(spark, make_customers):
     plan = cube._jdf.queryExecution().executedPlan().toString()
     assert "customer_states" in plan and plan.count("Scan") == 1
     catalog.drop_databases(spark, layers)
+
+
+def test_exact_counts_are_dealt_by_rows_before_they_are_repeated(spark, rows, monkeypatch):
+    """A table read by one task: its rows are not held there for every level and column."""
+    monkeypatch.setattr(sketches, "ROWS_AT_ONCE", 1000)
+    one = rows.where("x < 4000").coalesce(1)
+    cube = sketches.exact_cube(one.unionByName(one), KEYS, COLUMNS)
+    plan = cube._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Expand") :]
+    n = 2 * one.count()
+    assert "RepartitionByExpression [a#" in below and f", {n // 1000 + 1}" in below
+    found = {(r.level, r.a, r.b): (r.rows, r.distinct_x) for r in cube.collect()}
+    plain = one.unionByName(one).cube(*KEYS).agg(sketches._level(KEYS), F.count("*").alias("rows"), F.count_distinct("x").alias("n"))
+    assert found == {(r.level, r.a, r.b): (r.rows, r.n) for r in plain.collect()}
+    nothing = sketches.exact_cube(rows.limit(0), KEYS, COLUMNS).collect()
+    assert nothing == rows.limit(0).cube(*KEYS).agg(sketches._level(KEYS), F.count("*").alias("rows"), F.count_distinct("x").alias("distinct_x")).collect()
