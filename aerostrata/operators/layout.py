@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ FLIGHT_CLUSTERING = ["flight_date", "airline_code"]
 CUSTOMER_CLUSTERING = ["country", "segment"]
 ROWS_PER_FILE = 4_000_000
 TARGET_BYTES = 128 << 20
-#: A list of more files is joined without a broadcast (about 200 bytes each).
-MOST_BROADCAST_FILES = 100_000
+#: Partitions that one job puts together, each with a scan of its own.
+PARTITIONS_AT_ONCE = 100
 
 #: Cells of the z-curve have this many bits in all unless told otherwise, and at most.
 CELL_BITS, MOST_CELL_BITS = 16, 20
@@ -152,35 +153,40 @@ def recluster(spark: SparkSession, table: str, columns: list[str], files: int |
     write_clustered(spark.table(table), table, columns, files, by)
 
 
+def _packed_scan(target_bytes: int) -> dict[str, str]:
+    """Settings under which a scan puts whole files together up to a size, and a task writes them without sorting."""
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_bytes}b",
+        "spark.sql.files.openCostInBytes": "0b",
+        "spark.sql.files.minPartitionNum": "1",
+        "spark.sql.maxConcurrentOutputFileWriters": "8",
+    }
+
+
 def compact(spark: SparkSession, table: str, target_bytes: int = TARGET_BYTES) -> bool:
     """Rewrite the small files of a stored table as few of about ``target_bytes``.
 
-    Files of at least half that size are neither read nor touched.  Small ones are packed, those of a
-    partition folder and of neighbouring names together, into bins by their running size; all
-    rows of a bin become one file.  Says whether anything was rewritten.
+    Files of at least half that size are neither read nor touched, nor is one that is the only small one of
+    its partition.  Rows are not shuffled: the scan of each partition puts whole small files together up to the target and each
+    of its tasks writes one file.  So no task reads more than ``target_bytes``, however far the rows unfold in
+    memory.  Each rewrite takes up to ``PARTITIONS_AT_ONCE`` partitions.  Says whether anything was rewritten.
     """
+    stored_files.recover(spark, table)
     small = F.col(stored_files.SIZE) < target_bytes // 2
-    folder = F.regexp_replace("file", "[^/]*$", "")
-
-    def packed(rows: DataFrame) -> DataFrame:
-        found = stored_files.files(rows).withColumn("folder", folder)
-        # one row per small file, of a folder at a time
-        running = Window.partitionBy("folder").orderBy("file")
-        bins = found.select(
-            "file",
-            F.struct("folder", F.floor((F.sum("size").over(running) - F.col("size")) / target_bytes)).alias("bin"),
-        )
-        bins = bins.select("file", F.dense_rank().over(Window.orderBy("bin")).alias("_bin"))
-        listed = bins.collect()  # a row per file, as the driver lists them for any scan
-        number = {r.file: r._bin - 1 for r in listed}
-        numbers = spark.createDataFrame(list(number.items()), "_file string, _bin int")
-        if len(number) <= MOST_BROADCAST_FILES:
-            numbers = F.broadcast(numbers)
-        joined = rows.join(numbers, F.col(stored_files.FILE) == F.col("_file"))
-        return joined.repartitionById(max(number.values(), default=0) + 1, F.col("_bin")).drop("_file", "_bin")
-
-    many = stored_files.files(spark.table(table).where(small)).groupBy(folder).count().where("count > 1")
-    return not many.isEmpty() and stored_files.rewrite(spark, table, small, packed)
+    by = [F.col(c).cast("string").alias(f"_{i}") for i, c in enumerate(stored_files.partition_columns(spark, table))]
+    listed = spark.table(table).where(small).select(*by, F.col(stored_files.FILE).alias("_file")).distinct()
+    many = listed.groupBy(*[f"_{i}" for i in range(len(by))]).agg(F.count("*").alias("_files")).where("_files > 1")
+    # a row per partition, as the driver lists them for any scan
+    partitions = [tuple(r) for r in many.drop("_files").collect()]
+    inside = [
+        reduce(and_, [column.eqNullSafe(F.lit(v)) for column, v in zip(by, values, strict=True)], F.lit(True))
+        for values in partitions
+    ]
+    for i in range(0, len(inside), PARTITIONS_AT_ONCE):
+        some = inside[i : i + PARTITIONS_AT_ONCE]
+        packed = lambda rows, some=some: reduce(DataFrame.unionAll, [rows.where(p) for p in some])
+        stored_files.rewrite(spark, table, small & reduce(or_, some), packed, _packed_scan(target_bytes))
+    return bool(inside)
 
 
 def depths(ranges: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ ever missing; a reader that lists the folder in the moment of the move may see r
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
 
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aerostrata.sources.replacing import recover as recover_replacement
+from aerostrata.sources.replacing import setting
 
 _RUN, _MARKER = "_rewrite-", "complete"
 FILE, SIZE = "_metadata.file_path", "_metadata.file_size"
@@ -51,7 +53,7 @@ class Folder:
 
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
+        self._path, self._uri = jvm.org.apache.hadoop.fs.Path, jvm.java.net.URI
         self.root = self._path(path)
         self._fs = self.root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -84,7 +86,7 @@ class Folder:
         self._fs.delete(self.at(*parts), True)
 
     def delete_file(self, url: str) -> None:
-        self._fs.delete(self._path(url), False)
+        self._fs.delete(self._path(self._uri(url)), False)  # names of partitions can be escaped in it
 
 
 def folder_of(spark: SparkSession, table: str) -> Folder:
@@ -122,11 +124,17 @@ def recover(spark: SparkSession, table: str) -> int:
     return finished
 
 
-def stage(spark: SparkSession, table: str, chosen: Column, laid_out: Callable[[DataFrame], DataFrame]) -> str | None:
-    """Write the rows of the files that ``chosen`` (a condition on ``_metadata``) selects anew, beside the table.
+def stage(
+    spark: SparkSession,
+    table: str,
+    chosen: Column,
+    laid_out: Callable[[DataFrame], DataFrame],
+    settings: dict[str, str] | None = None,
+) -> str | None:
+    """Write the rows of the files that ``chosen`` (a condition on ``_metadata`` and partitions) selects anew, beside the table.
 
     Gives the folder of the complete rewrite, or None if no file is chosen.  Conditions on path and size
-    are applied to the list of files, so the others are not read.
+    are applied to the list of files, so the others are not read.  ``settings`` of the session hold for the write of the rows.
     """
     folder, run = folder_of(spark, table), f"{_RUN}{uuid.uuid4().hex}"
     rows = spark.table(table).where(chosen)
@@ -140,7 +148,10 @@ def stage(spark: SparkSession, table: str, chosen: Column, laid_out: Callable[[D
     new = laid_out(rows).observe(seen, F.count(F.lit(1)).alias("rows"))
     columns = partition_columns(spark, table)
     writer = new.write.partitionBy(*columns) if columns else new.write
-    writer.parquet(f"{place}/rows")
+    with contextlib.ExitStack() as held:
+        for name, value in (settings or {}).items():
+            held.enter_context(setting(spark, name, value))
+        writer.parquet(f"{place}/rows")
     written = seen.get["rows"]
     if written != total or spark.read.parquet(f"{place}/rows").count() != total:
         folder.delete(run)
@@ -149,10 +160,16 @@ def stage(spark: SparkSession, table: str, chosen: Column, laid_out: Callable[[D
     return run
 
 
-def rewrite(spark: SparkSession, table: str, chosen: Column, laid_out: Callable[[DataFrame], DataFrame]) -> bool:
+def rewrite(
+    spark: SparkSession,
+    table: str,
+    chosen: Column,
+    laid_out: Callable[[DataFrame], DataFrame],
+    settings: dict[str, str] | None = None,
+) -> bool:
     """Replace the chosen files of a table by the same rows in another layout."""
     recover(spark, table)
-    run = stage(spark, table, chosen, laid_out)
+    run = stage(spark, table, chosen, laid_out, settings)
     if run is not None:
         _finish(spark, table, folder_of(spark, table), run)
     return run is not None

@@ -110,12 +110,15 @@ _LISTED = "spark.sql.hive.manageFilesourcePartitions"
 @contextlib.contextmanager
 def setting(spark: SparkSession, name: str, value: str):
     """A session setting for the time of one write."""
-    before = spark.conf.get(name)
+    before = spark.conf.get(name, None)
     spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def _saved(spark: SparkSession, writer: DataFrameWriter, table: str) -> None:

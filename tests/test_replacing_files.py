@@ -161,6 +161,37 @@ def test_compaction_keeps_partitions(spark, table):
     assert spark.table(table).where("p = 2").count() == 200
 
 
+def test_compaction_reads_no_more_than_the_target_in_a_task(spark, table, monkeypatch):
+    """Rows that take thousands of times their stored size in memory are not shuffled; a lone small file stays."""
+    p = F.when(F.col("id") % 4 < 3, F.concat(F.lit("a/'"), (F.col("id") % 4).cast("string")))
+    rows = spark.range(0, 4000, 1, 10).select("id", F.repeat(F.lit("x"), 10_000).alias("v"), F.col("id").cast("double").alias("w"), p.alias("p"))
+    lone = spark.range(1).select("id", F.lit("y").alias("v"), F.lit(0.5).alias("w"), F.lit("lone").alias("p"))
+    catalog.replace_table(rows.unionByName(lone), table, ["p"])
+    sums = lambda: spark.table(table).groupBy("p").agg(F.count("*"), F.bit_xor(F.xxhash64("id", "v", "w"))).orderBy("p").collect()
+    before, sizes = sums(), [r["size"] for r in files.files(spark.table(table)).collect()]
+    assert len(sizes) == 41
+    lone_file = lambda: [r.file for r in files.files(spark.table(table).where("p = 'lone'")).collect()]
+    kept = lone_file()
+    plans, stage, settings = [], files.stage, spark.conf.getAll
+
+    def seen(spark, table, chosen, laid_out, *more):
+        def planned(rows):
+            out = laid_out(rows)
+            plans.append(out._jdf.queryExecution().executedPlan().toString())
+            return out
+
+        return stage(spark, table, chosen, planned, *more)
+
+    monkeypatch.setattr(files, "stage", seen)
+    monkeypatch.setattr(layout, "PARTITIONS_AT_ONCE", 3)
+    assert layout.compact(spark, table, 4 * max(sizes) + 100)
+    assert len(plans) == 2 and not any("Exchange" in plan for plan in plans)
+    assert sums() == before and spark.conf.getAll == settings
+    found = files.files(spark.table(table)).collect()
+    assert 4 * 3 <= len(found) - 1 <= 4 * 5 and lone_file() == kept
+    assert max(r.rows for r in found) <= 500
+
+
 @pytest.mark.parametrize("step", ["before the marker", "marked", "half moved", "half deleted"])
 def test_a_rewrite_cut_short_is_mended(spark, table, monkeypatch, step):
     catalog.replace_table(spark.range(0, 100, 1, 8), table)
