@@ -240,16 +240,18 @@ def _coded(encoded: DataFrame, width: int, lengths: np.ndarray, bounds: list[tup
                 counts = batch.column(2).to_numpy()
                 ids = _flat(batch.column(3), _kind(width))
                 bits = lengths[ids].astype(np.int64)
-                ends = np.concatenate([[0], np.cumsum(bits)])
+                ends = np.zeros(len(bits) + 1, np.int64)
+                np.cumsum(bits, out=ends[1:])
                 token_at = np.concatenate([[0], np.cumsum(counts)])
-                own_bits = ends[token_at[1:]] - ends[token_at[:-1]]
+                first_bit = ends[token_at[:-1]]
+                own_bits = ends[token_at[1:]] - first_bit
                 size = (own_bits + 7) // 8
                 byte_at = np.cumsum(size) - size
-                within = ends[:-1] - np.repeat(ends[token_at[:-1]], counts)
-                at = within + np.repeat(byte_at * 8, counts)
+                at = ends[:-1] + np.repeat(byte_at * 8 - first_bit, counts)
                 n_marks = -(-counts // MARK_EVERY)
                 step = np.arange(int(n_marks.sum())) - np.repeat(np.cumsum(n_marks) - n_marks, n_marks)
-                marks = within[np.repeat(token_at[:-1], n_marks) + step * MARK_EVERY].astype("<u4")
+                marked = np.repeat(token_at[:-1], n_marks) + step * MARK_EVERY
+                marks = (ends[marked] - np.repeat(first_bit, n_marks)).astype("<u4")
                 parts = [
                     max(0, bisect.bisect_right(bounds, (d is not None, d or 0, u)) - 1)
                     for d, u in zip(doc_ids, uids, strict=True)

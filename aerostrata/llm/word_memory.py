@@ -254,9 +254,16 @@ class LibraryEncoder:
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # the byte 255 occurs in no encoded text
         joined = b"\xff".join([word.encode() for word in words]).decode("latin-1")
-        tokens = list(map(self.model.tokenize, joined.translate(_JOINED_LETTERS).split(" ")))
-        ids = [token.id for found in tokens for token in found]
-        return np.array(ids, np.uint32), np.fromiter(map(len, tokens), np.int64, len(tokens))
+        ids: list[int] = []
+        counts: list[int] = []
+        tokenize = self.model.tokenize
+        # tokens of a word are let go before those of the next are made
+        for word in joined.translate(_JOINED_LETTERS).split(" "):
+            found = tokenize(word)
+            counts.append(len(found))
+            for token in found:
+                ids.append(token.id)
+        return np.array(ids, np.uint32), np.array(counts, np.int64)
 
 
 @functools.lru_cache(maxsize=4)

@@ -264,3 +264,29 @@ def test_added_tokens_are_single_ids(path):
     texts = ["a <|endoftext|> b", "<|endoftext|>", *("".join(draw.choices(parts, k=8)) for _ in range(300))]
     assert pieces_of(tokenizer_memory(path), texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert tokenizer_memory(path).count(texts).tolist() == [len(p) for p in pieces_of(tokenizer_memory(path), texts)]
+
+
+def test_tokens_of_a_word_are_let_go_before_the_next_word():
+    """The objects of all new words of a group, held at once, do not stay in a core's cache."""
+    encoder = LibraryEncoder(BYTES, True)
+    words = [" one", "two", " déjà", "日本", "7", " \n"] * 50
+    ids, counts = encoder._encode_words(words)
+    real, alive, most = encoder.model, set(), []
+
+    class Token:
+        def __init__(self, number):
+            self.id = number
+            alive.add(id(self))
+
+        def __del__(self):
+            alive.discard(id(self))
+
+    class Model:
+        def tokenize(self, word):
+            most.append(len(alive))
+            return [Token(token.id) for token in real.tokenize(word)]
+
+    encoder.model = Model()
+    again, counted = encoder._encode_words(words)
+    assert again.tolist() == ids.tolist() and counted.tolist() == counts.tolist()
+    assert len(most) == 300 and max(most) <= max(counts)
